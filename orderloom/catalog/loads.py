@@ -18,7 +18,8 @@ LOADED = F.to_timestamp(F.lit("2024-02-03 00:00:00"))
 def _lines(spark, sf):
     """The events as gzipped JSON-lines files, read back as text."""
     path = scratch(spark) + "/raw/events"
-    view(spark, sf, "jsonl").select("line").write.option("compression", "gzip").text(path)
+    lines = view(spark, sf, "jsonl").select("line").repartition(spark.sparkContext.defaultParallelism)
+    lines.write.option("compression", "gzip").text(path)
     return jsonl.read_lines(spark, path)
 
 
@@ -215,20 +216,17 @@ def export_stats(spark, sf):
 
 @query(
     "json_array_to_jsonl",
-    duck("SELECT product_id, status, http_status FROM prod WHERE status = 'success'", "prod").replace(
-        "SELECT product_id, status, http_status FROM prod", "SELECT product_id, status, CAST(http_status AS BIGINT) AS http_status FROM prod"
-    ),
+    duck("SELECT product_id, status, CAST(http_status AS BIGINT) AS http_status FROM prod WHERE status = 'success'", "prod"),
 )
 def json_array_to_jsonl(spark, sf):
     """JSON array files become JSON lines, filtered by status."""
     root = scratch(spark)
     rows = raw_products(spark, sf).select("product_id", "status", "http_status")
-    grouped = rows.withColumn("file", F.expr("conv(substr(md5(product_id), 1, 6), 16, 10) % 100000")).withColumn(
-        "file", F.floor(F.monotonically_increasing_id() / 500)
+    chunk = F.floor(F.monotonically_increasing_id() / 500)  # at most 500 rows per array
+    arrays = rows.groupBy(chunk.alias("file")).agg(
+        F.to_json(F.collect_list(F.struct("product_id", "status", "http_status"))).alias("doc")
     )
-    arrays = grouped.groupBy("file").agg(F.to_json(F.collect_list(F.struct("product_id", "status", "http_status"))).alias("doc"))
-    arrays.select("doc").write.option("lineSep", "\n").text(f"{root}/lines")
-    # One array per file: the text writer puts a record into its own file.
+    # One array per file: the text writer puts every record into its own file.
     arrays.select("doc").write.option("maxRecordsPerFile", 1).text(f"{root}/arrays")
     schema = "product_id string, status string, http_status bigint"
     kept = jsonl.json_array_to_lines(spark, f"{root}/arrays", schema, jsonl.field_equals("status", "success"))

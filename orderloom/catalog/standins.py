@@ -159,8 +159,8 @@ SELECT CAST(p_partkey AS STRING) AS product_id,
   CASE WHEN p_partkey % 31 = 0 THEN '0' WHEN p_partkey % 37 = 0 THEN 'n/a' WHEN p_partkey % 61 = 0 THEN ''
        ELSE CAST(CAST(round(p_retailprice * 100) AS BIGINT) DIV 100 AS STRING) || '.'
             || lpad(CAST(CAST(round(p_retailprice * 100) AS BIGINT) % 100 AS STRING), 2, '0') END AS price,
-  CAST(CAST(p_retailprice AS BIGINT) - p_partkey % 15 + CASE WHEN p_partkey % 71 = 0 THEN 30 ELSE 0 END AS STRING) AS min_price,
-  CAST(CAST(p_retailprice AS BIGINT) + p_partkey % 25 + 1 AS STRING) AS max_price,
+  CAST(CAST(floor(p_retailprice) AS BIGINT) - p_partkey % 15 + CASE WHEN p_partkey % 71 = 0 THEN 30 ELSE 0 END AS STRING) AS min_price,
+  CAST(CAST(floor(p_retailprice) AS BIGINT) + p_partkey % 25 + 1 AS STRING) AS max_price,
   CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE CAST(p_size AS STRING) || '.5' END AS gold_weight,
   CASE WHEN p_partkey % 10 = 9 THEN NULL ELSE 's' || CAST(p_partkey % 17 AS STRING) END AS store_code,
   'set' || CAST(p_partkey % 5 AS STRING) AS attribute_set, 'm' || CAST(p_partkey % 7 AS STRING) AS material_design,
