@@ -26,30 +26,41 @@ def _kind(value: Column) -> Column:
     )
 
 
+def _members_of(node: Column) -> Column:
+    """Key-value pairs of an object node as nodes."""
+    dot = F.when(node["path"] == "", F.lit("")).otherwise(F.concat(node["path"], F.lit(".")))
+    entries = F.map_entries(F.try_variant_get(node["value"], "$", "map<string,variant>"))
+    return F.transform(entries, lambda e: F.struct(F.concat(dot, e["key"]).alias("path"), e["value"].alias("value")))
+
+
+def _items_of(node: Column) -> Column:
+    """First members of an array node as nodes."""
+    items = F.slice(F.try_variant_get(node["value"], "$", "array<variant>"), 1, ARRAY_SAMPLE)
+    return F.transform(items, lambda v: F.struct(F.concat(node["path"], F.lit("[]")).alias("path"), v.alias("value")))
+
+
+def _only(nodes: Column, kind: str) -> Column:
+    return F.filter(nodes, lambda n: _kind(n["value"]) == kind)
+
+
 def document_fields(lines: DataFrame, line: str = "line", depth: int = 4, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per field occurrence: path, kind and text sample, down to `depth` levels.
 
-    Array members are written as `path[]`; the first three members of an array are looked at.
+    Array members are written as `path[]`; the first three members of an array are looked at. A document
+    is parsed once and opened level by level inside its row; the fields leave the row in one explode.
     """
-    level = lines.select(*carry, F.lit("").alias("path"), F.try_parse_json(line).alias("value"))
-    found = None
-    for _ in range(depth):
-        # Objects open into their keys.
-        keys = F.map_entries(F.try_variant_get("value", "$", "map<string,variant>"))
-        dot = F.when(F.col("path") == "", "").otherwise(F.concat("path", F.lit(".")))
-        opened = level.where(_kind(F.col("value")) == "object").select(
-            *carry, dot.alias("dot"), F.explode(keys).alias("e")
-        ).select(*carry, F.concat("dot", "e.key").alias("path"), F.col("e.value").alias("value"))
-        fields = opened.withColumn("kind", _kind(F.col("value")))
-        # Arrays offer their first members; plain members count as `path[]`, objects are opened next.
-        members = F.slice(F.try_variant_get("value", "$", "array<variant>"), 1, ARRAY_SAMPLE)
-        inside = fields.where(F.col("kind") == "array").select(
-            *carry, F.concat("path", F.lit("[]")).alias("path"), F.explode(members).alias("value")
-        ).withColumn("kind", _kind(F.col("value")))
-        plain = inside.where(F.col("kind") != "object")
-        here = fields.unionByName(plain)
-        found = here if found is None else found.unionByName(here)
-        level = fields.where(F.col("kind") == "object").unionByName(inside.where(F.col("kind") == "object")).drop("kind")
+    root = F.array(F.struct(F.lit("").alias("path"), F.try_parse_json(line).alias("value")))
+    df = lines.select(*carry, _only(root, "object").alias("_open"))
+    levels = []
+    for n in range(depth):
+        fields, inside = f"_fields{n}", f"_inside{n}"
+        df = df.withColumn(fields, F.flatten(F.transform("_open", _members_of)))
+        df = df.withColumn(inside, F.flatten(F.transform(_only(F.col(fields), "array"), _items_of)))
+        df = df.withColumn("_open", F.concat(_only(F.col(fields), "object"), _only(F.col(inside), "object")))
+        levels += [F.col(fields), F.filter(inside, lambda v: _kind(v["value"]) != "object")]
+    found = df.select(*carry, F.explode(F.concat(*levels)).alias("n")).select(*carry, "n.path", "n.value")
+    kind = _kind(F.col("value"))
+    found = found.withColumn("kind", kind)
     nested = F.concat(F.lit("<"), F.col("kind"), F.lit(">"))
     sample = F.when(F.col("kind").isin("array", "object"), nested).otherwise(
         F.substring(F.coalesce(F.try_variant_get("value", "$", "string"), F.lit("None")), 1, 100)

@@ -13,11 +13,13 @@ from orderloom.sources.jsonl import parse_lines
 from orderloom.sources.routing import RAW_TABLES
 
 
-def read_new_lines(spark: SparkSession, root: str, table: str, files_per_batch: int = 1000) -> DataFrame:
+def read_new_lines(
+    spark: SparkSession, root: str, table: str, files_per_batch: int = 1000, pattern: str = "*.jsonl.gz"
+) -> DataFrame:
     """Stream of the lines of one raw table. Only its own folder is listed, so other files are never read."""
     return (
         spark.readStream.format("text")
-        .option("pathGlobFilter", "*.jsonl.gz")
+        .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(f"{root.rstrip('/')}/raw/{table}")
         .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file"))
@@ -32,6 +34,7 @@ def autoload(
     tables: Sequence[str] = RAW_TABLES,
     strict: bool = True,
     files_per_batch: int = 1000,
+    pattern: str = "*.jsonl.gz",
 ) -> list[StreamingQuery]:
     """Load all files that have not been loaded yet, then stop (run it again for later files).
 
@@ -49,7 +52,7 @@ def autoload(
     queries = []
     for table in tables:
         try:
-            lines = read_new_lines(spark, root, table, files_per_batch)
+            lines = read_new_lines(spark, root, table, files_per_batch, pattern)
         except AnalysisException:
             continue  # no file of this table has arrived yet
         queries.append(
