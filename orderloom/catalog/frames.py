@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.catalog.standins import view
 from orderloom.functions import agents
 from orderloom.plans import core
+from orderloom.session import stored
 from orderloom.sources import schemas
 
 
@@ -78,22 +81,23 @@ def staged_checkouts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fact_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Sales stand-in with the fact's column names and decimal money."""
-    s = view(spark, sf, "sales")
+    """Sales stand-in as a stored table with the fact's column names and decimal money."""
+    s = view(spark, sf, "sales").withColumn("line_cents", F.col("unit_cents") * F.col("quantity"))
 
     def money(cents):
-        return (F.col(cents).cast("decimal(20,0)") / 100).cast("decimal(18,2)")
+        return F.col(cents).cast("decimal(15,0)") * F.lit(Decimal("0.01"))
 
-    return s.select(
+    fact = s.select(
         F.lit(None).cast("bigint").alias("sales_line_key"),
         "order_id", "order_date", "date_key", "store_id", "customer_key", "product_key", "location_key",
         "device_key", F.lit(-1).cast("bigint").alias("exchange_rate_key"), "quantity",
         money("unit_cents").alias("unit_price"),
-        (money("unit_cents") * F.col("quantity")).cast("decimal(20,2)").alias("line_total"),
+        money("line_cents").alias("line_total"),
         money("usd_cents").alias("line_total_usd"),
         F.lit("c1").alias("transaction_currency_symbol"), F.lit("EU1").alias("transaction_currency_code"),
         F.lit(None).cast("string").alias("ip_address"),
     )
+    return stored(fact)
 
 
 def calendar(spark: SparkSession) -> DataFrame:

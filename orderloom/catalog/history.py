@@ -11,6 +11,7 @@ from orderloom.functions import history as h
 from orderloom.operators import history as scd
 from orderloom.operators.keys import add_surrogate_key, max_key, with_unknown_members
 from orderloom.plans import core, incremental
+from orderloom.session import stored
 
 # Sightings: the priority of a customer's orders plays the tracked attribute. Days make ties.
 SEEN = """SELECT CAST(o_custkey AS STRING) AS customer_natural_key, CAST(o_custkey AS STRING) AS user_id_db,
@@ -52,10 +53,8 @@ def _versions(spark, sf, before=None):
 
 def _history(spark, sf):
     """Stored history of the orders before 1996 and the versions staged from all orders."""
-    path = scratch(spark) + "/dim_customer"
     old = scd.initial_history(_versions(spark, sf, "1996-01-01"))
-    with_unknown_members(old, core.customer_members(old)).write.parquet(path)
-    return spark.read.parquet(path), _versions(spark, sf)
+    return stored(with_unknown_members(old, core.customer_members(old))), _versions(spark, sf)
 
 
 def _now():

@@ -9,6 +9,7 @@ from orderloom.catalog.registry import query, scratch
 from orderloom.catalog.standins import duck, table, view
 from orderloom.functions import documents
 from orderloom.operators import sampling
+from orderloom.session import stored
 from orderloom.sources import exports, jsonl, routing
 
 TYPES = ("checkout", "checkout_success", "add_to_cart_action")
@@ -25,9 +26,7 @@ def _lines(spark, sf):
 
 def _loaded(spark, sf, **options):
     """The raw events table: loaded from files and stored."""
-    path = scratch(spark) + "/events"
-    jsonl.load_events(_lines(spark, sf), loaded_at=LOADED, **options).write.parquet(path)
-    return spark.read.parquet(path)
+    return stored(jsonl.load_events(_lines(spark, sf), loaded_at=LOADED, **options))
 
 
 @query(

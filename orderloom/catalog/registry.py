@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.session import ensure_checkpoint_dir
+from orderloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,5 +54,4 @@ def plain(df: DataFrame) -> DataFrame:
 
 def scratch(spark: SparkSession) -> str:
     """A fresh folder below the shared checkpoint folder, for queries that write and read back."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}"
+    return scratch_path(spark, "scratch")

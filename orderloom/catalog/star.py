@@ -11,6 +11,7 @@ from orderloom.catalog.standins import duck, table, view
 from orderloom.operators import checks
 from orderloom.operators.dedup import latest_per_key
 from orderloom.plans import core, intermediate, staging
+from orderloom.session import stored
 
 DATE_ORACLE = """SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, d AS full_date, CAST(year(d) AS BIGINT) AS year,
   CAST(date_trunc('year', d) AS DATE) AS year_start_date, make_date(year(d), 12, 31) AS year_end_date,
@@ -137,9 +138,9 @@ FACT_VIEWS = ("checkout", "fx", "geo", "prod_dup")
 
 def star(spark, sf):
     """All dimensions and the fact, from the staged stand-ins."""
-    staged = _checkouts(spark, sf)
+    staged = stored(_checkouts(spark, sf))
     done = intermediate.checkout_success(staged)
-    places = _places(spark, sf)
+    places = stored(_places(spark, sf))
     rates = view(spark, sf, "fx")
     dims = {
         "dim_date": core.dim_date(spark, "1992-01-01", "2030-12-31"),

@@ -1,9 +1,9 @@
 """Surrogate keys 1..n in a global order, without sorting everything in one task.
 
-The rows are range-partitioned on the whole order, sorted inside partitions and written once to the
+The rows are range-partitioned on the whole order, sorted inside partitions and stored once in the
 checkpoint folder. The key is the row's place in its partition plus the rows of all earlier
-partitions. Only one count per partition is summed up centrally. The checkpoint matters: the range
-bounds are sampled, and a recomputed partition must not get other bounds than its neighbours.
+partitions. Only one count per partition is summed up centrally. Storing matters: the range bounds
+are sampled, and a recomputed partition must not get other bounds than its neighbours.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.session import cut_lineage
+from orderloom.session import stored
 
 _PLACE_BITS = (1 << 33) - 1
 
@@ -22,7 +22,7 @@ def with_row_index(df: DataFrame, order: Sequence[Column | str], name: str = "_i
     """Add 1, 2, 3, … in `order`. Rows that tie in `order` are numbered in any order."""
     sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
     place = F.monotonically_increasing_id()
-    placed = cut_lineage(
+    placed = stored(
         sorted_rows.select("*", F.spark_partition_id().alias("_part"), place.bitwiseAND(F.lit(_PLACE_BITS)).alias("_place"))
     )
     # One row per partition: bounded by the number of shuffle partitions.

@@ -1,9 +1,10 @@
 """Exact discrete quantiles by counting and refinement.
 
 Sketches with high accuracy ship large digests to one reducer. Here equal values are counted first
-(combined on the map side, so a hot value costs nothing), then the counts are narrowed in two steps
-of at most `BINS` bins each. No task ever sees more than the bins, or the few distinct values of
-one final bin. The counted values are one shuffle that all later steps reuse.
+(combined on the map side, so a hot value costs nothing), then the counts are narrowed in two steps:
+coarse bins on a log scale, fine bins inside the coarse bin that was hit, and last the values inside one
+fine bin. The bins are fixed functions of the value, at most some ten thousand coarse ones, so no
+minimum or maximum is needed first. The counted values are one shuffle that all steps reuse.
 """
 
 from __future__ import annotations
@@ -14,63 +15,58 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 4096
+COARSE = 256  # bins per e-fold: neighbouring bins differ by 0.4 %
+FINE = COARSE * 65536
 
 
-def _spread(c: Column) -> Column:
-    """Monotone log scale, so that a few huge values do not push all others into one bin."""
-    return F.signum(c) * F.log1p(F.abs(c))
+def _bin(value: Column, per_fold: int) -> Column:
+    """Monotone bin number of a value."""
+    x = value.cast("double")
+    return F.floor(F.signum(x) * F.log1p(F.abs(x)) * per_fold)
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probabilities: Sequence[float | str], groups: Sequence[str] = ()
+    df: DataFrame,
+    value: str,
+    probabilities: Sequence[float | str],
+    groups: Sequence[str] = (),
+    few_groups: bool = False,
 ) -> DataFrame:
-    """Rows (groups…, probability, value): the smallest value that at least p of the rows do not exceed."""
+    """Rows (groups…, probability, value): the smallest value that at least p of the rows do not exceed.
+
+    The rows that tell which bin to open next number groups × probabilities. They are broadcast by hint
+    when there are no groups or `few_groups` says that their number is fixed; else Spark decides.
+    """
     keys = list(groups) or ["_all"]
     source = df if groups else df.withColumn("_all", F.lit(1))
     counted = (
         source.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).alias("_v"))
         .agg(F.count("*").alias("_n"))
-        .withColumn("_x", _spread(F.col("_v").cast("double")))
-    )
-    total = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    total = total if groups else F.broadcast(total)
-    share = F.when(F.col("_hi") > F.col("_lo"), (F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")))
-    scaled = counted.join(total, keys).withColumn("_share", F.coalesce(share, F.lit(0.0)))
-    binned = scaled.select(
-        *keys,
-        "_v",
-        "_n",
-        "_total",
-        F.floor(F.col("_share") * BINS).alias("_b1"),
-        F.floor(F.col("_share") * (BINS * BINS)).alias("_b2"),
+        .select(*keys, "_v", "_n", _bin(F.col("_v"), COARSE).alias("_b1"), _bin(F.col("_v"), FINE).alias("_b2"))
     )
-
-    targets = F.array(*[F.lit(Decimal(str(p))) for p in probabilities])
-    rank = F.greatest(F.ceil(F.col("_total").cast("decimal(20,0)") * F.col("_p")), F.lit(1)).cast("bigint")
+    hint = F.broadcast if few_groups or not groups else (lambda d: d)
 
     def running(counts: DataFrame, by: Sequence[str], order: str) -> DataFrame:
-        w = Window.partitionBy(*by).orderBy(order)
-        return counts.withColumn("_upto", F.sum("_n").over(w))
+        return counts.withColumn("_upto", F.sum("_n").over(Window.partitionBy(*by).orderBy(order)))
 
     def hit(counts: DataFrame) -> DataFrame:
         return counts.where((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_n")))
 
-    coarse = binned.groupBy(*keys, "_b1").agg(F.sum("_n").alias("_n"), F.first("_total").alias("_total"))
-    coarse = running(coarse, keys, "_b1").withColumn("_p", F.explode(targets)).withColumn("_rank", rank)
-    coarse = hit(coarse).select(*keys, "_p", "_b1", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_rank"))
-    coarse = coarse if groups else F.broadcast(coarse)
+    inner_rank = (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_rank")
+    targets = F.array(*[F.lit(Decimal(str(p))) for p in probabilities])
+    rank = F.greatest(F.ceil(F.col("_total").cast("decimal(20,0)") * F.col("_p")), F.lit(1)).cast("bigint")
 
-    fine = binned.join(coarse, [*keys, "_b1"]).groupBy(*keys, "_p", "_rank", "_b2").agg(F.sum("_n").alias("_n"))
-    fine = hit(running(fine, [*keys, "_p"], "_b2")).select(
-        *keys, "_p", "_b2", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_rank")
-    )
-    fine = fine if groups else F.broadcast(fine)
+    coarse = running(counted.groupBy(*keys, "_b1").agg(F.sum("_n").alias("_n")), keys, "_b1")
+    coarse = coarse.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
+    coarse = coarse.withColumn("_p", F.explode(targets)).withColumn("_rank", rank)
+    coarse = hint(hit(coarse).select(*keys, "_p", "_b1", inner_rank))
+
+    fine = counted.join(coarse, [*keys, "_b1"]).groupBy(*keys, "_p", "_rank", "_b2").agg(F.sum("_n").alias("_n"))
+    fine = hint(hit(running(fine, [*keys, "_p"], "_b2")).select(*keys, "_p", "_b2", inner_rank))
 
-    last = binned.join(fine, [*keys, "_b2"])
-    found = hit(running(last, [*keys, "_p"], "_v"))
-    return found.select(*groups, F.col("_p").cast("double").alias("probability"), F.col("_v").alias("value"))
+    last = hit(running(counted.join(fine, [*keys, "_b2"]), [*keys, "_p"], "_v"))
+    return last.select(*groups, F.col("_p").cast("double").alias("probability"), F.col("_v").alias("value"))
 
 
 def quantile_columns(

@@ -146,7 +146,9 @@ def mart_customer_summary(
     devices = F.broadcast(dim_device.select("device_key", "device_category"))
     places = dim_location.select("location_key", "country_name")
     lines = clean_sales(sales).join(devices, "device_key", "left").join(places, "location_key", "left")
-    orders = lines.groupBy("customer_key", "order_id", "device_category", "country_name").agg(
+    person = ["customer_key", "customer_natural_key", "email_address", "is_guest"]
+    # Every later step reads this one shuffle.
+    orders = lines.groupBy(*person, "order_id", "device_category", "country_name").agg(
         F.min("order_date").alias("_first"),
         F.max("order_date").alias("_last"),
         F.sum("line_total_usd").alias("_revenue"),
@@ -162,7 +164,7 @@ def mart_customer_summary(
     )
     device = top_value_per_key(orders, "customer_key", "device_category", "primary_device_category", "_lines")
     country = top_value_per_key(orders, "customer_key", "country_name", "primary_country", "_lines")
-    who = clean_sales(sales).select("customer_key", "customer_natural_key", "email_address", "is_guest").distinct()
+    who = orders.select(*person).distinct()
     domain = F.when(F.col("email_address").isNull(), "Guest").otherwise(email_domain("email_address"))
     return (
         who.join(metrics, "customer_key")

@@ -23,15 +23,30 @@ def order_aggregates(fact: DataFrame) -> DataFrame:
     )
 
 
+def line_thresholds(fact: DataFrame, threshold: str = THRESHOLD) -> DataFrame:
+    """One row: the quantity and the value that `threshold` of the lines do not exceed.
+
+    One pass over the fact serves both measures; they are compared as doubles.
+    """
+    measures = F.array(
+        F.struct(F.lit("quantity").alias("measure"), F.col("quantity").cast("double").alias("amount")),
+        F.struct(F.lit("value").alias("measure"), F.col("line_total_usd").cast("double").alias("amount")),
+    )
+    rows = fact.select(F.explode(measures).alias("m")).select("m.*")
+    limits = exact_quantiles(rows, "amount", [threshold], ["measure"], few_groups=True)
+    return limits.agg(
+        F.max(F.when(F.col("measure") == "quantity", F.col("value"))).alias("quantity"),
+        F.max(F.when(F.col("measure") == "value", F.col("value"))).alias("value"),
+    )
+
+
 def flag_orders(fact: DataFrame, threshold: str = THRESHOLD) -> DataFrame:
     """Every order with its five flags.
 
     The value rule compares the order total with the 99th percentile of single lines, as the
-    dashboards expect. The thresholds are scalar subqueries, run once each.
+    dashboards expect. The thresholds are one scalar subquery that runs once.
     """
-    def limit(column: str):
-        return exact_quantiles(fact, column, [threshold]).select("value").scalar()
-
+    limits = line_thresholds(fact, threshold).select(F.struct("quantity", "value").alias("limits")).scalar()
     orders = order_aggregates(fact)
     quantity, value = F.col("max_line_quantity"), F.col("total_order_value_usd")
 
@@ -42,8 +57,8 @@ def flag_orders(fact: DataFrame, threshold: str = THRESHOLD) -> DataFrame:
         orders.withColumns(
             {
                 "is_placeholder_quantity": flag(quantity.isin(*PLACEHOLDER_QUANTITIES)),
-                "is_high_quantity_outlier": flag(quantity > limit("quantity")),
-                "is_high_value_outlier": flag(value > limit("line_total_usd")),
+                "is_high_quantity_outlier": flag(quantity.cast("double") > limits["quantity"]),
+                "is_high_value_outlier": flag(value.cast("double") > limits["value"]),
                 "is_suspicious_pattern": flag((F.col("line_item_count") > 1) & (F.col("avg_unit_price") == 0)),
             }
         )

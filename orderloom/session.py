@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,7 +47,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the shared checkpoint folder, so that a lost executor costs no recomputation."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def scratch_path(spark: SparkSession, prefix: str = "table") -> str:
+    """A path that does not exist yet, below the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{prefix}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write `df` once to the shared checkpoint folder and read it back as a table.
+
+    Lineage ends here, so a lost executor costs no recomputation of what came before. Unlike an RDD
+    checkpoint the table is columnar, readers prune columns, and its size is known to the optimizer.
+    """
+    path = scratch_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
