@@ -13,7 +13,8 @@ from orderloom.session import stored
 from orderloom.sources import exports, jsonl, routing
 
 TYPES = ("checkout", "checkout_success", "add_to_cart_action")
-LOADED = F.to_timestamp(F.lit("2024-02-03 00:00:00"))
+def _load_time():
+    return F.to_timestamp(F.lit("2024-02-03 00:00:00"))
 
 
 def _lines(spark, sf):
@@ -26,7 +27,7 @@ def _lines(spark, sf):
 
 def _loaded(spark, sf, **options):
     """The raw events table: loaded from files and stored."""
-    return stored(jsonl.load_events(_lines(spark, sf), loaded_at=LOADED, **options))
+    return stored(jsonl.load_events(_lines(spark, sf), loaded_at=_load_time(), **options))
 
 
 @query(
@@ -64,7 +65,7 @@ def scan_jsonl_lines(spark, sf):
 )
 def load_events_typed(spark, sf):
     """Typed events from JSON lines; nested arrays shown by size and text."""
-    df = jsonl.load_events(_lines(spark, sf), loaded_at=LOADED)
+    df = jsonl.load_events(_lines(spark, sf), loaded_at=_load_time())
     pairs = F.transform("option", lambda o: F.concat(o["option_label"], F.lit("="), F.coalesce(o["value_label"], F.lit(""))))
     units = F.aggregate("cart_products", F.lit(0).cast("bigint"), lambda acc, c: acc + c["amount"])
     return df.select(
@@ -99,7 +100,7 @@ def load_products_typed(spark, sf):
         }
     )
     lines = doc.select(F.to_json(F.struct(*[c for c in doc.columns if c not in ("ingest_date", "p_partkey")])).alias("line"))
-    df = jsonl.load_products(lines, loaded_at=LOADED)
+    df = jsonl.load_products(lines, loaded_at=_load_time())
     return df.select(
         "product_id", "url", "status", "http_status", "error_message", "fallback_used", "product_name", "sku", "price",
         "category_name", F.size("visible_contents").alias("visible"), "tax_rate", "gold_weight", "qty",
@@ -112,7 +113,7 @@ def load_products_typed(spark, sf):
 )
 def load_ip_locations_typed(spark, sf):
     rows = raw_ip_locations(spark, sf).select("ip", "country", "region", "city")
-    return jsonl.load_ip_locations(rows.select(F.to_json(F.struct("*")).alias("line")), loaded_at=LOADED)
+    return jsonl.load_ip_locations(rows.select(F.to_json(F.struct("*")).alias("line")), loaded_at=_load_time())
 
 
 @query(

@@ -24,6 +24,11 @@ FLAGS = """SELECT order_id, CAST(total_quantity AS BIGINT) AS total_quantity, CA
 FLAG_CTES = {"orders_agg": ORDERS_AGG, "limits": LIMITS, "flags": FLAGS}
 
 
+def mean_of_cents(cents: str, n: str) -> str:
+    """Money per unit to three digits, rounded half up in whole numbers."""
+    return f"CAST(({cents} * 20 + {n}) // ({n} * 2) AS DOUBLE) / 1000"
+
+
 def _duck(body: str, *names: str, **ctes: str) -> str:
     return duck(body, "sales", *names, **FLAG_CTES, **ctes)
 
@@ -31,16 +36,16 @@ def _duck(body: str, *names: str, **ctes: str) -> str:
 @query(
     "order_aggregates",
     duck(
-        """SELECT order_id, CAST(sum(quantity) AS BIGINT) AS total_quantity, CAST(sum(usd_cents) AS DOUBLE) / 100 AS total_order_value_usd,
+        f"""SELECT order_id, CAST(sum(quantity) AS BIGINT) AS total_quantity, CAST(sum(usd_cents) AS DOUBLE) / 100 AS total_order_value_usd,
           CAST(count(*) AS BIGINT) AS line_item_count, CAST(max(quantity) AS BIGINT) AS max_line_quantity,
-          CAST(max(usd_cents) AS DOUBLE) / 100 AS max_line_value_usd, round(CAST(sum(unit_cents) AS DOUBLE) / count(*) / 100, 3) AS avg_unit_price
+          CAST(max(usd_cents) AS DOUBLE) / 100 AS max_line_value_usd, {mean_of_cents('sum(unit_cents)', 'count(*)')} AS avg_unit_price
         FROM sales GROUP BY 1""",
         "sales",
     ),
 )
 def order_aggregates(spark, sf):
     agg = quality.order_aggregates(fact_lines(spark, sf))
-    return agg.withColumn("avg_unit_price", F.round(F.col("avg_unit_price").cast("double"), 3))
+    return agg.withColumn("avg_unit_price", F.round("avg_unit_price", 3))
 
 
 @query(
@@ -241,9 +246,6 @@ def geography_frame(spark, sf):
 
 query("mart_sales_by_geography", mart_duck(GEOGRAPHY))(geography_frame)
 
-PRODUCT_CTES = {}
-
-
 def products_frame(spark, sf):
     """Product dimension whose keys match the stand-in fact."""
     p = staging.stg_products(raw_products(spark, sf))
@@ -260,11 +262,11 @@ def _stg_products() -> str:
     return STG_PRODUCTS.replace("FROM prod_dup", "FROM prod")
 
 
-PRODUCT = """SELECT order_date, product_id, product_name, sku, product_type, category_id, category_name, collection_name, gender, price AS catalog_price,
+PRODUCT = f"""SELECT order_date, product_id, product_name, sku, product_type, category_id, category_name, collection_name, gender, price AS catalog_price,
   min_price AS catalog_min_price, max_price AS catalog_max_price, gold_weight, currency_code AS catalog_currency,
   CAST(year(order_date) AS BIGINT) AS year, CAST(month(order_date) AS BIGINT) AS month, CAST(count(DISTINCT order_id) AS BIGINT) AS order_count,
   CAST(count(*) AS BIGINT) AS line_item_count, CAST(sum(quantity) AS BIGINT) AS units_sold, CAST(sum(usd_cents) AS DOUBLE) / 100 AS revenue_usd,
-  round(CAST(sum(unit_cents) AS DOUBLE) / count(*) / 100, 3) AS avg_unit_price, CAST(min(unit_cents) AS DOUBLE) / 100 AS min_unit_price,
+  {mean_of_cents('sum(unit_cents)', 'count(*)')} AS avg_unit_price, CAST(min(unit_cents) AS DOUBLE) / 100 AS min_unit_price,
   CAST(max(unit_cents) AS DOUBLE) / 100 AS max_unit_price, CAST(count(*) FILTER (NOT is_guest) AS BIGINT) AS registered_customer_orders,
   CAST(count(*) FILTER (is_guest) AS BIGINT) AS guest_orders,
   CAST(count(DISTINCT nullif(regexp_extract(email_address, '@(.+)$', 1), '')) AS BIGINT) AS unique_email_domains
@@ -275,7 +277,7 @@ PRODUCT_CTES = {"stg_products": _stg_products()}
 @query("mart_sales_by_product", mart_duck(PRODUCT, "prod", **PRODUCT_CTES))
 def mart_sales_by_product(spark, sf):
     mart = product_frame(spark, sf)
-    return mart.withColumn("avg_unit_price", F.round(F.col("avg_unit_price").cast("double"), 3))
+    return mart.withColumn("avg_unit_price", F.round("avg_unit_price", 3))
 
 
 AS_OF = "2002-01-01"
@@ -288,7 +290,7 @@ CUSTOMER_CTES = {
       ELSE nullif(regexp_extract(email_address, '@(.+)$', 1), '') END AS email_domain, is_guest, min(order_date) AS first_order_date, max(order_date) AS last_order_date,
       CAST(date_diff('day', min(order_date), max(order_date)) AS BIGINT) AS days_between_first_last,
       CAST(date_diff('day', max(order_date), DATE '{AS_OF}') AS BIGINT) AS days_since_last_order, CAST(count(DISTINCT order_id) AS BIGINT) AS total_orders,
-      CAST(sum(usd_cents) AS DOUBLE) / 100 AS total_revenue_usd, round(CAST(sum(usd_cents) AS DOUBLE) / count(DISTINCT order_id) / 100, 3) AS avg_order_value,
+      CAST(sum(usd_cents) AS DOUBLE) / 100 AS total_revenue_usd, {mean_of_cents('sum(usd_cents)', 'count(DISTINCT order_id)')} AS avg_order_value,
       CAST(sum(quantity) AS BIGINT) AS total_units_purchased, CASE WHEN count(DISTINCT order_id) = 1 THEN 'One-time'
       WHEN count(DISTINCT order_id) BETWEEN 2 AND 5 THEN 'Repeat' ELSE 'Loyal' END AS purchase_frequency_segment
       FROM normal GROUP BY customer_key, customer_natural_key, email_address, is_guest""",
@@ -307,4 +309,4 @@ def customer_frame(spark, sf):
 )
 def mart_customer_summary(spark, sf):
     mart = customer_frame(spark, sf)
-    return mart.withColumn("avg_order_value", F.round(F.col("avg_order_value").cast("double"), 3))
+    return mart.withColumn("avg_order_value", F.round("avg_order_value", 3))

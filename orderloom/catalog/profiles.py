@@ -227,7 +227,7 @@ def profile_temporal(spark, sf):
     "nested_field_profile",
     duck(
         f"""SELECT {ROWS}, {', '.join(f'''{_big(_n(f"{c}_n > 0"))} AS with_{c}, {_pct(_n(f"{c}_n > 0"))} AS with_{c}_pct, {_big(_n(f"{c}_n = 0"))} AS without_{c},
-          {_pct(_n(f"{c}_n = 0"))} AS without_{c}_pct, round(avg({c}_n), 2) AS avg_{c}, CAST(max({c}_n) AS BIGINT) AS max_{c},
+          {_pct(_n(f"{c}_n = 0"))} AS without_{c}_pct, {_pct(f'sum({c}_n)', f'(count({c}_n) * 100)')} AS avg_{c}, CAST(max({c}_n) AS BIGINT) AS max_{c},
           CAST(quantile_disc({c}_n, 0.5) AS BIGINT) AS median_{c}''' for c in ('option', 'cart_products'))}
         FROM (SELECT event_id % 4 AS option_n, CASE WHEN order_id <> '' THEN event_id % 3 ELSE 0 END AS cart_products_n FROM ev)""",
         "ev",
@@ -331,7 +331,7 @@ def dq_issues_product(spark, sf):
     "bot_sessions",
     duck(
         f"""SELECT {_big('count(*)')} AS suspicious_large_sessions, {_big('min(n)')} AS min_session_size, {_big('max(n)')} AS max_session_size,
-          round(CAST(sum(n) AS DOUBLE) / count(*), 2) AS avg_session_size FROM (SELECT device_id, count(*) AS n FROM ev GROUP BY 1 HAVING count(*) > 5)""",
+          {_pct('sum(n)', '(count(n) * 100)')} AS avg_session_size FROM (SELECT device_id, count(*) AS n FROM ev GROUP BY 1 HAVING count(*) > 5)""",
         "ev",
     ),
 )
@@ -494,7 +494,7 @@ def ip_private_public(spark, sf):
 
 def _length(c: str, skip_blank: bool) -> str:
     value = f"length(nullif({c}, ''))" if skip_blank else f"length({c})"
-    return f"round(avg({value}), 2) AS avg_{c}_length, {_big(f'min({value})')} AS min_{c}_length, {_big(f'max({value})')} AS max_{c}_length"
+    return f"{_pct(f'sum({value})', f'(count({value}) * 100)')} AS avg_{c}_length, {_big(f'min({value})')} AS min_{c}_length, {_big(f'max({value})')} AS max_{c}_length"
 
 
 @query(

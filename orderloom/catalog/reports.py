@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from orderloom.catalog.marts import (
     CUSTOMER_CTES, DAILY, GEOGRAPHY, PRODUCT, PRODUCT_CTES, customer_frame, daily_frame, geography_frame, mart_duck,
-    product_frame,
+    mean_of_cents, product_frame,
 )
 from orderloom.catalog.profiles import _pct
 from orderloom.catalog.registry import query
 from orderloom.catalog.standins import duck, view
 from orderloom.plans import reports as r
+from orderloom.session import stored
 
 SUMMARY = "SELECT * FROM summary JOIN top_device USING (customer_key) JOIN top_country USING (customer_key)"
 
@@ -37,6 +38,9 @@ def _money(column: str = "revenue_usd") -> str:
     return f"CAST(sum(CAST(round({column} * 100) AS BIGINT)) AS DOUBLE) / 100"
 
 
+CENTS = "sum(CAST(round(revenue_usd * 100) AS BIGINT))"
+
+
 def _sum(column: str) -> str:
     return f"CAST(sum({column}) AS BIGINT) AS {column}"
 
@@ -45,25 +49,24 @@ def _sum(column: str) -> str:
     "bi_scorecard",
     _daily(
         f"""SELECT {_money()} AS revenue_usd, CAST(sum(order_count) AS BIGINT) AS orders,
-          round({_money()} / sum(order_count), 3) AS avg_order_value, min(order_date) AS first_date, max(order_date) AS last_date FROM daily"""
+          {mean_of_cents(CENTS, 'sum(order_count)')} AS avg_order_value, min(order_date) AS first_date, max(order_date) AS last_date FROM daily"""
     ),
 )
 def bi_scorecard(spark, sf):
-    return r.scorecard(daily_frame(spark, sf)).withColumn("avg_order_value", F.round(F.col("avg_order_value").cast("double"), 3))
+    return r.scorecard(daily_frame(spark, sf)).withColumn("avg_order_value", F.round("avg_order_value", 3))
 
 
 @query(
     "bi_revenue_trend",
     mart_duck(
-        """SELECT order_date, revenue_usd,
-          round((SELECT sum(CAST(round(revenue_usd * 100) AS BIGINT)) / count(*) / 100 FROM days), 3) AS average_revenue_usd FROM days""",
+        f"""SELECT order_date, revenue_usd, (SELECT {mean_of_cents(CENTS, 'count(*)')} FROM days) AS average_revenue_usd FROM days""",
         daily=DAILY,
         days=f"SELECT order_date, {_money()} AS revenue_usd FROM daily GROUP BY 1",
     ),
 )
 def bi_revenue_trend(spark, sf):
-    trend = r.revenue_trend(daily_frame(spark, sf))
-    return trend.withColumn("average_revenue_usd", F.round(F.col("average_revenue_usd").cast("double"), 3))
+    trend = r.revenue_trend(stored(daily_frame(spark, sf)))
+    return trend.withColumn("average_revenue_usd", F.round("average_revenue_usd", 3))
 
 
 @query(
@@ -80,7 +83,7 @@ def bi_revenue_trend(spark, sf):
 )
 def bi_top_by_revenue(spark, sf):
     """Best stores, products and collections."""
-    products = product_frame(spark, sf)
+    products = stored(product_frame(spark, sf))
     boards = {
         "store": (daily_frame(spark, sf), "store_id"), "product": (products, "product_id"),
         "collection": (products, "collection_name"),
@@ -129,7 +132,7 @@ def bi_guest_split(spark, sf):
 )
 def bi_day_of_week(spark, sf):
     """Totals per weekday and per calendar week."""
-    daily = daily_frame(spark, sf)
+    daily = stored(daily_frame(spark, sf))
     days = r.by_weekday(daily).select(F.lit("weekday").alias("view"), F.col("day_name").alias("bucket"), "revenue_usd", "order_count")
     week = F.concat(F.col("year").cast("string"), F.lit("-"), F.col("week_of_year").cast("string"))
     return days.unionByName(r.by_week(daily).select(F.lit("week").alias("view"), week.alias("bucket"), "revenue_usd", "order_count"))
@@ -172,7 +175,7 @@ def bi_category_breakdown(spark, sf):
 )
 def bi_price_vs_revenue(spark, sf):
     """Points of the two scatter charts."""
-    products = product_frame(spark, sf)
+    products = stored(product_frame(spark, sf))
     price = r.measure_vs_revenue(products, "catalog_price").select(F.lit("price").alias("chart"), "product_id", F.col("catalog_price").alias("measure"), "revenue_usd")
     gold = r.measure_vs_revenue(products, "gold_weight").select(F.lit("gold_weight").alias("chart"), "product_id", F.col("gold_weight").alias("measure"), "revenue_usd")
     return price.unionByName(gold)
@@ -186,14 +189,14 @@ def bi_by_country(spark, sf):
 @query(
     "bi_customer_scorecard",
     _customers(
-        f"""SELECT CAST(count(*) AS BIGINT) AS customers, round({_money('total_revenue_usd')} / count(*), 3) AS avg_lifetime_value,
-          round(CAST(sum(days_since_last_order) AS DOUBLE) / count(*), 3) AS avg_days_since_last_order, CAST(count(*) FILTER (is_guest) AS BIGINT) AS guests,
+        f"""SELECT CAST(count(*) AS BIGINT) AS customers, {mean_of_cents(CENTS.replace('revenue', 'total_revenue'), 'count(*)')} AS avg_lifetime_value,
+          {mean_of_cents('sum(days_since_last_order) * 100', 'count(*)')} AS avg_days_since_last_order, CAST(count(*) FILTER (is_guest) AS BIGINT) AS guests,
           CAST(count(*) FILTER (total_orders > 1) AS BIGINT) AS repeat_customers, {_pct('count(*) FILTER (total_orders > 1)')} AS repeat_rate_pct FROM customers"""
     ),
 )
 def bi_customer_scorecard(spark, sf):
     card = r.customer_scorecard(customer_frame(spark, sf))
-    rounded = {n: F.round(F.col(n).cast("double"), 3) for n in ("avg_lifetime_value", "avg_days_since_last_order")}
+    rounded = {n: F.round(n, 3) for n in ("avg_lifetime_value", "avg_days_since_last_order")}
     return card.withColumns(rounded)
 
 
@@ -206,7 +209,7 @@ def bi_customer_scorecard(spark, sf):
 )
 def bi_customer_lifecycle(spark, sf):
     """Customers per segment and per month of first order."""
-    c = customer_frame(spark, sf)
+    c = stored(customer_frame(spark, sf))
     segments = r.customer_lifecycle(c).select(F.lit("segment").alias("view"), F.col("purchase_frequency_segment").alias("bucket"), "customers")
     months = r.acquisition_trend(c).select(
         F.lit("acquisition").alias("view"), F.date_format("month_start", "yyyy-MM-dd").alias("bucket"), F.col("new_customers").alias("customers")
@@ -230,7 +233,7 @@ def bi_top_customers(spark, sf):
 )
 def bi_customer_preferences(spark, sf):
     """Customers by preferred device, mail domain and country."""
-    c = customer_frame(spark, sf)
+    c = stored(customer_frame(spark, sf))
     out = None
     for name, column in (("device", "primary_device_category"), ("domain", "email_domain"), ("country", "primary_country")):
         one = r.customer_counts(c, column).select(F.lit(name).alias("view"), F.col(column).alias("bucket"), "customers")

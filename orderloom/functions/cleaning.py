@@ -111,3 +111,8 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     part, whole = part.cast("decimal(20,0)"), whole.cast("decimal(20,0)")
     rounded = F.floor(F.try_divide(part * (2 * scale) + whole, whole * 2))
     return (rounded.cast("double") / F.lit(float(10**digits))).cast("double")
+
+
+def average(total: Column, count: Column, digits: int = 2) -> Column:
+    """Mean of whole numbers from their sum and count, rounded half up in integer arithmetic."""
+    return percent(total, count * 100, digits)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import urls
-from orderloom.functions.cleaning import is_blank, percent, safe_double
+from orderloom.functions.cleaning import average, is_blank, percent, safe_double
 from orderloom.operators.quantiles import quantile_columns
 
 
@@ -208,7 +208,7 @@ def nested_lengths(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             percent(filled, F.count("*")).alias(f"with_{name}_pct"),
             (F.count("*") - filled).alias(f"without_{name}"),
             percent(F.count("*") - filled, F.count("*")).alias(f"without_{name}_pct"),
-            F.round(F.avg(length), 2).alias(f"avg_{name}"),
+            average(F.sum(length), F.count(length)).alias(f"avg_{name}"),
             F.max(length).cast("bigint").alias(f"max_{name}"),
         ]
         sizes = df.select(F.size(F.col(name)).cast("bigint").alias("_s"))
@@ -224,7 +224,7 @@ def string_lengths(df: DataFrame, columns: Sequence[str], skip_blank: Sequence[s
         if name in skip_blank:
             length = F.when(has_value(name), length)
         out += [
-            F.round(F.avg(length), 2).alias(f"avg_{name}_length"),
+            average(F.sum(length), F.count(length)).alias(f"avg_{name}_length"),
             F.min(length).cast("bigint").alias(f"min_{name}_length"),
             F.max(length).cast("bigint").alias(f"max_{name}_length"),
         ]
@@ -341,7 +341,7 @@ def bot_sessions(df: DataFrame, session: str = "device_id", more_than: int = 100
         F.count("*").alias("suspicious_large_sessions"),
         F.min("n").alias("min_session_size"),
         F.max("n").alias("max_session_size"),
-        F.round(F.avg("n"), 2).alias("avg_session_size"),
+        average(F.sum("n"), F.count("n")).alias("avg_session_size"),
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.cleaning import email_domain, purchase_segment
 from orderloom.operators.dedup import top_value_per_key
+from orderloom.session import stored
 
 DAILY_KEYS = ["order_date", "store_id", "device_category", "is_mobile"]
 PLACE_KEYS = ["order_date", "country_name", "region_name", "city_name"]
@@ -147,14 +148,14 @@ def mart_customer_summary(
     places = dim_location.select("location_key", "country_name")
     lines = clean_sales(sales).join(devices, "device_key", "left").join(places, "location_key", "left")
     person = ["customer_key", "customer_natural_key", "email_address", "is_guest"]
-    # Every later step reads this one shuffle.
-    orders = lines.groupBy(*person, "order_id", "device_category", "country_name").agg(
+    # Order grain, stored once: four steps read different columns of it.
+    orders = stored(lines.groupBy(*person, "order_id", "device_category", "country_name").agg(
         F.min("order_date").alias("_first"),
         F.max("order_date").alias("_last"),
         F.sum("line_total_usd").alias("_revenue"),
         F.sum("quantity").alias("_units"),
         F.count("*").alias("_lines"),
-    )
+    ))
     metrics = orders.groupBy("customer_key").agg(
         F.min("_first").alias("first_order_date"),
         F.max("_last").alias("last_order_date"),
