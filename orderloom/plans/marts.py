@@ -1,8 +1,8 @@
 """Dashboard marts over enriched sales lines.
 
-All marts drop outlier orders. Lines are combined to order grain first, with one map-side aggregation,
-and distinct counts run on that smaller table. A hot store, product or customer is therefore spread by
-order id before it is counted.
+All marts drop outlier orders. Each daily mart is one aggregation with two distinct counts: Spark combines
+every distinct (group, order) and (group, customer) pair on the map side and spreads them by the pair, so a
+hot store, product or place never meets in one task. Calendar columns are joined to the finished groups.
 """
 
 from __future__ import annotations
@@ -30,28 +30,12 @@ def _calendar(dim_date: DataFrame, columns: Sequence[str]) -> DataFrame:
     return F.broadcast(dim_date.select(F.col("full_date").alias("order_date"), *columns))
 
 
-def _to_orders(lines: DataFrame, keys: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
-    return lines.groupBy(*keys, "order_id", "customer_key").agg(
-        F.count("*").alias("line_item_count"),
-        F.sum("quantity").alias("units_sold"),
-        F.sum("line_total_usd").alias("revenue_usd"),
-        *extra,
-    )
-
-
 def _order_measures() -> list[Column]:
     return [
         F.count_distinct("order_id").alias("order_count"),
-        F.sum("line_item_count").alias("line_item_count"),
-        F.sum("units_sold").alias("units_sold"),
-        F.sum("revenue_usd").alias("revenue_usd"),
-    ]
-
-
-def _guest_lines() -> list[Column]:
-    return [
-        F.count_if(F.col("is_guest")).alias("guest_orders"),
-        F.count_if(~F.col("is_guest")).alias("registered_orders"),
+        F.count("*").alias("line_item_count"),
+        F.sum("quantity").alias("units_sold"),
+        F.sum("line_total_usd").alias("revenue_usd"),
     ]
 
 
@@ -61,11 +45,11 @@ def mart_sales_daily(
     """Store × day × device class. The guest and registered columns count lines."""
     devices = F.broadcast(dim_device.select("device_key", "device_category", "is_mobile"))
     lines = clean_sales(sales, newer_than).join(devices, "device_key", "left")
-    days = _to_orders(lines, DAILY_KEYS, _guest_lines()).groupBy(*DAILY_KEYS).agg(
+    days = lines.groupBy(*DAILY_KEYS).agg(
         *_order_measures(),
         F.count_distinct("customer_key").alias("unique_customers"),
-        F.sum("guest_orders").alias("guest_orders"),
-        F.sum("registered_orders").alias("registered_orders"),
+        F.count_if(F.col("is_guest")).alias("guest_orders"),
+        F.count_if(~F.col("is_guest")).alias("registered_orders"),
     )
     attributes = ["year", "quarter", "month", F.col("week").alias("week_of_year"), "day_of_week", "day_name", "is_weekend"]
     return days.join(_calendar(dim_date, attributes), "order_date", "left").select(
@@ -82,7 +66,7 @@ def mart_sales_by_geography(
     """Country × region × city × day, for lines whose city is known."""
     places = dim_location.where(F.col("city_name").isNotNull()).select("location_key", *PLACE_KEYS[1:])
     lines = clean_sales(sales, newer_than).join(places, "location_key")
-    days = _to_orders(lines, PLACE_KEYS).groupBy(*PLACE_KEYS).agg(
+    days = lines.groupBy(*PLACE_KEYS).agg(
         *_order_measures(), F.count_distinct("customer_key").alias("unique_customers")
     )
     return days.join(_calendar(dim_date, ["year", "month"]), "order_date", "left").select(
@@ -100,23 +84,14 @@ def mart_sales_by_product(
         "collection_name", "gender",
     ]
     keys = ["order_date", "product_key"]
-    extra = [
-        *_guest_lines(),
-        F.sum("unit_price").alias("_price_sum"),
-        F.count("unit_price").alias("_price_count"),
+    days = clean_sales(sales, newer_than).groupBy(*keys).agg(
+        *_order_measures(),
+        F.avg("unit_price").alias("avg_unit_price"),
         F.min("unit_price").alias("min_unit_price"),
         F.max("unit_price").alias("max_unit_price"),
-        F.first(email_domain("email_address"), ignorenulls=True).alias("_domain"),
-    ]
-    lines = clean_sales(sales, newer_than)
-    days = _to_orders(lines, keys, extra).groupBy(*keys).agg(
-        *_order_measures(),
-        (F.sum("_price_sum") / F.sum("_price_count")).alias("avg_unit_price"),
-        F.min("min_unit_price").alias("min_unit_price"),
-        F.max("max_unit_price").alias("max_unit_price"),
-        F.sum("registered_orders").alias("registered_customer_orders"),
-        F.sum("guest_orders").alias("guest_orders"),
-        F.count_distinct("_domain").alias("unique_email_domains"),
+        F.count_if(~F.col("is_guest")).alias("registered_customer_orders"),
+        F.count_if(F.col("is_guest")).alias("guest_orders"),
+        F.count_distinct(email_domain("email_address")).alias("unique_email_domains"),
     )
     money = "decimal(38,9)"
     products = dim_product.select(
@@ -149,13 +124,15 @@ def mart_customer_summary(
     lines = clean_sales(sales).join(devices, "device_key", "left").join(places, "location_key", "left")
     person = ["customer_key", "customer_natural_key", "email_address", "is_guest"]
     # Order grain, stored once: four steps read different columns of it.
-    orders = stored(lines.groupBy(*person, "order_id", "device_category", "country_name").agg(
-        F.min("order_date").alias("_first"),
-        F.max("order_date").alias("_last"),
-        F.sum("line_total_usd").alias("_revenue"),
-        F.sum("quantity").alias("_units"),
-        F.count("*").alias("_lines"),
-    ))
+    orders = stored(
+        lines.groupBy(*person, "order_id", "device_category", "country_name").agg(
+            F.min("order_date").alias("_first"),
+            F.max("order_date").alias("_last"),
+            F.sum("line_total_usd").alias("_revenue"),
+            F.sum("quantity").alias("_units"),
+            F.count("*").alias("_lines"),
+        )
+    )
     metrics = orders.groupBy("customer_key").agg(
         F.min("_first").alias("first_order_date"),
         F.max("_last").alias("last_order_date"),
