@@ -4,7 +4,8 @@ Sketches with high accuracy ship large digests to one reducer. Here equal values
 (combined on the map side, so a hot value costs nothing), then the counts are narrowed in two steps:
 coarse bins on a log scale, fine bins inside the coarse bin that was hit, and last the values inside one
 fine bin. The bins are fixed functions of the value, at most some ten thousand coarse ones, so no
-minimum or maximum is needed first. The counted values are one shuffle that all steps reuse.
+minimum or maximum is needed first. The input is read once: the counted values are stored, and all steps
+read that table.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.session import stored
+
 COARSE = 256  # bins per e-fold: neighbouring bins differ by 0.4 %
 FINE = COARSE * 65536
 
@@ -39,7 +42,8 @@ def exact_quantiles(
     """
     keys = list(groups) or ["_all"]
     source = df if groups else df.withColumn("_all", F.lit(1))
-    counted = (
+    # Stored, because the optimizer would push each step's join filters into its own scan of the input.
+    counted = stored(
         source.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).alias("_v"))
         .agg(F.count("*").alias("_n"))
