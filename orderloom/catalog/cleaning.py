@@ -11,7 +11,6 @@ from orderloom.functions import agents, cleaning as c, urls
 from orderloom.operators.dedup import latest_per_key
 from orderloom.operators.lookups import locate_ips
 from orderloom.plans import intermediate, staging
-from orderloom.sources.routing import RAW_TABLES  # noqa: F401
 
 NUMERIC = "CASE WHEN regexp_matches(price, '^[0-9]+(\\.[0-9]+)?$') THEN CAST(price AS DOUBLE) END"
 

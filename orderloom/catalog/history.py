@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orderloom.catalog.frames import fact_lines
 from orderloom.catalog.registry import query, scratch
 from orderloom.catalog.standins import duck, table, view
 from orderloom.functions import history as h
@@ -25,7 +24,7 @@ ORDER = "first_seen, email_address NULLS FIRST"
 TS = "strftime({}, '%Y-%m-%d %H:%M:%S')"
 DUCK_SEEN = SEEN.format(orders="orders").replace("STRING", "VARCHAR")
 DUCK_VERSIONS = VERSIONS.format(seen="seen")
-# The first load sees the orders before 1999, the incremental run sees all.
+# The first load sees the orders before 1996, the incremental run sees all.
 OLD = "SELECT * FROM seen WHERE event_timestamp < TIMESTAMP '1996-01-01'"
 DUCK_HISTORY = f"""SELECT row_number() OVER (ORDER BY customer_natural_key, {ORDER}) AS customer_key, customer_natural_key, user_id_db, device_id,
   email_address, first_seen AS valid_from, coalesce(lead(first_seen) OVER w, TIMESTAMP '9999-12-31') AS valid_to,

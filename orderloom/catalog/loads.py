@@ -136,7 +136,7 @@ def scan_by_date_glob(spark, sf):
 
 
 PATHS = """SELECT CASE event_id % 5 WHEN 0 THEN 'raw/events/events_20240201_part' WHEN 1 THEN 'raw/ip_locations/ip_locations_'
-  WHEN 2 THEN 'raw/products/products_' WHEN 3 THEN 'raw/glamour/products_' ELSE 'other/raw/events/' END
+  WHEN 2 THEN 'raw/products/products_' WHEN 3 THEN 'raw/shop/products_' ELSE 'other/raw/events/' END
   || CAST(event_id AS STRING) || '.jsonl.gz' AS path FROM ev"""
 
 

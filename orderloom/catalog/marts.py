@@ -11,7 +11,7 @@ from orderloom.functions.cleaning import email_domain
 from orderloom.operators.dedup import top_value_per_key
 from orderloom.operators.quantiles import exact_quantiles
 from orderloom.operators import profiling
-from orderloom.plans import core, intermediate, marts, quality, staging
+from orderloom.plans import intermediate, marts, quality, staging
 
 ORDERS_AGG = """SELECT order_id, sum(quantity) AS total_quantity, sum(usd_cents) AS cents, count(*) AS line_item_count, max(quantity) AS max_quantity,
   max(usd_cents) AS max_cents, avg(unit_cents) AS avg_price FROM sales GROUP BY 1"""
