@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import oracles
+from orderloom.llm import language_id, mixing, oracles, secret_scan
 from orderloom.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,8 +22,24 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(_table(spark, sf_dir, "documents")))
+
+
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_language_id": op3_language_id,
+    "op4_secret_scan": op4_secret_scan,
+    "op6_source_mix": op6_source_mix,
 }
 
 ORACLE: dict[str, str] = {
