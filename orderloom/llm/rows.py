@@ -22,6 +22,17 @@ def text_bytes(docs: DataFrame, text_col: str) -> int:
     return int(docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0)
 
 
-def buckets_for(n_bytes: int, bytes_each: int = 4_000_000, least: int = 16) -> int:
+def buckets_for(n_bytes: int, bytes_each: int = 16_000_000, least: int = 48) -> int:
     """Hash buckets so that a bucket's share does not grow with the input."""
     return max(least, -(-n_bytes // bytes_each))
+
+
+def copies(rows: DataFrame) -> DataFrame:
+    """(key, copy) of rows whose text another row has as well: copy is true for all but one of equal texts.
+
+    `rows` comes from `keyed`. Counting comes first, so a text that a third of all rows share is one row of the join.
+    """
+    marked = rows.select(KEY, F.md5(F.col("text").cast("binary")).alias("print"))
+    groups = marked.groupBy("print").agg(F.count("*").alias("n"), F.min(KEY).alias("first")).where("n > 1")
+    members = marked.where("print is not null").join(groups, "print")
+    return members.groupBy(KEY).agg(F.min(F.col(KEY) != F.col("first")).alias("copy"))

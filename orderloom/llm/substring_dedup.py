@@ -6,9 +6,10 @@ text, so a repeated window has a reference block that at least two probes hit. F
 the block are grown to `size` words, and those whose full word sequence occurs twice are repeats; their union is the
 set of maximal exact repeats.
 
-Shuffled data: six bytes per rolling window (repeats inside a task are merged first), one reference per block, the
-texts once, and for windows around hit blocks a 96-bit hash with a reference. Nothing is formed per pair of texts,
-so thousands of copies cost as much as as many different texts.
+Equal texts are counted first and only one of them goes on. Shuffled data: the texts once (three joins share that
+exchange), three to four bytes per rolling window (repeats inside a task are merged), one reference per block, and for
+windows around hit blocks a 96-bit hash with a reference. Nothing is formed per pair of texts, so thousands of copies
+cost as much as as many different texts.
 """
 
 from __future__ import annotations
@@ -20,48 +21,67 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.rows import KEY, buckets_for, keyed, text_bytes
-from orderloom.llm.texthash import Words, packed, unpacked_column, word_chunks
-
-SIZE, BLOCK, PROBE_BYTES = 35, 18, 6
+from orderloom.llm.rows import KEY, buckets_for, copies, keyed, text_bytes
+from orderloom.llm.texthash import (
+    SET_BITS,
+    Words,
+    bucket_of,
+    cuts,
+    joined,
+    packed,
+    packed_sorted,
+    unpacked,
+    unpacked_sorted,
+    word_chunks,
+)
+
+SIZE, BLOCK = 35, 18
 FLUSH = 3_000_000
-_LOW = np.uint64(2 ** (8 * PROBE_BYTES) - 1)
+_LOW = np.uint64(2**SET_BITS - 1)
 
 
-def _bucket_edges(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket of equal width begins in sorted 48-bit hashes."""
-    lows = [(b << (8 * PROBE_BYTES)) // buckets for b in range(buckets + 1)]
-    return np.searchsorted(sorted_hashes, np.array(lows, np.uint64))
+def _by_bucket(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order by bucket that keeps the order inside, and where buckets begin."""
+    bucket = bucket_of(hashes, buckets)
+    order = np.argsort(bucket, kind="stable")
+    return order, cuts(bucket[order], buckets)
 
 
 def _probe_batch(probes: list, blocks: list, keys: list, numbers: list, buckets: int) -> pa.RecordBatch:
-    hashes, count = np.unique(np.concatenate(probes), return_counts=True)
-    once, often = hashes[count == 1], hashes[count > 1]
+    hashes, count = np.unique(np.concatenate(probes), return_counts=True)  # sorted, so by bucket
+    edges = cuts(bucket_of(hashes, buckets), buckets)
     block, key, number = np.concatenate(blocks), np.concatenate(keys), np.concatenate(numbers)
-    order = np.argsort(block, kind="stable")
-    block, key, number = block[order], key[order], number[order]
-    a, b, c = (_bucket_edges(x, buckets) for x in (once, often, block))
-    full = [i for i in range(buckets) if a[i + 1] > a[i] or b[i + 1] > b[i]]
+    order, at = _by_bucket(block, buckets)
+    block, key, number = block[order] & _LOW, key[order], number[order]
+    full = [i for i in range(buckets) if edges[i + 1] > edges[i]]
+    once, often = [], []
+    for i in full:
+        part, n = hashes[edges[i] : edges[i + 1]] & _LOW, count[edges[i] : edges[i + 1]]
+        once.append(packed_sorted(np.sort(part[n == 1])))
+        often.append(packed_sorted(np.sort(part[n > 1])))
     return pa.RecordBatch.from_pydict(
         {
             "bucket": pa.array(full, pa.int64()),
-            "once": pa.array([packed(once[a[i] : a[i + 1]], PROBE_BYTES) for i in full], pa.binary()),
-            "often": pa.array([packed(often[b[i] : b[i + 1]], PROBE_BYTES) for i in full], pa.binary()),
-            "block": pa.array([packed(block[c[i] : c[i + 1]], PROBE_BYTES) for i in full], pa.binary()),
-            "row": pa.array([key[c[i] : c[i + 1]].tobytes() for i in full], pa.binary()),
-            "number": pa.array([number[c[i] : c[i + 1]].tobytes() for i in full], pa.binary()),
+            "once": pa.array(once, pa.binary()),
+            "often": pa.array(often, pa.binary()),
+            "block": pa.array([packed(block[at[i] : at[i + 1]], 5) for i in full], pa.binary()),
+            "row": pa.array([key[at[i] : at[i + 1]].tobytes() for i in full], pa.binary()),
+            "number": pa.array([number[at[i] : at[i + 1]].tobytes() for i in full], pa.binary()),
         }
     )
 
 
 def _probe(block: int, buckets: int):
+    """Columns: key, id, text, copy."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = ([], [], [], []), 0
         for batch in batches:
+            batch = batch.filter(pa.compute.invert(pa.compute.fill_null(batch.column(3), False)))
             key = batch.column(0).to_numpy(zero_copy_only=False)
-            for w in word_chunks(batch.column(1)):
+            for w in word_chunks(batch.column(2)):
                 fits = w.room() >= block
-                window = w.windows(block) & _LOW
+                window = w.windows(block)
                 place = np.arange(len(w.hashes)) - np.repeat(w.offsets[:-1], np.diff(w.offsets))
                 anchor = fits & (place % block == 0)
                 held[0].append(window[fits])
@@ -80,13 +100,13 @@ def _probe(block: int, buckets: int):
 
 def _hit(table: pa.Table) -> pa.Table:
     """Reference blocks that two probes hit, in one bucket."""
-    often = unpacked_column(table["often"], PROBE_BYTES)
-    hashes, count = np.unique(unpacked_column(table["once"], PROBE_BYTES), return_counts=True)
-    often = np.union1d(often, np.concatenate([hashes[count > 1], np.intersect1d(hashes, often)]))
-    block = unpacked_column(table["block"], PROBE_BYTES)
+    once = np.sort(np.concatenate([unpacked_sorted(x) for x in table["once"].to_pylist()]))
+    often = np.concatenate([unpacked_sorted(x) for x in table["often"].to_pylist()])
+    # what is seen once by two tasks, or often by any; a value seen once here and often there is in `often` already
+    often = np.union1d(often, once[1:][once[1:] == once[:-1]])
+    block = unpacked(b"".join(table["block"].to_pylist()), 5)
     found = np.isin(block, often)
-    row = np.frombuffer(b"".join(table["row"].to_pylist()), np.int64)[found]
-    number = np.frombuffer(b"".join(table["number"].to_pylist()), np.int32)[found]
+    row, number = joined(table["row"], "<i8")[found], joined(table["number"], "<i4")[found]
     order = np.lexsort((number, row))
     row, number = row[order], number[order]
     rows, first = np.unique(row, return_index=True)
@@ -109,41 +129,38 @@ def _grown(w: Words, lists: list, block: int, size: int) -> np.ndarray:
 
 def _window_batch(a: list, b: list, keys: list, places: list, buckets: int) -> pa.RecordBatch:
     h1, h2, key, place = (np.concatenate(x) for x in (a, b, keys, places))
-    top = h1 >> np.uint64(16)
-    order = np.argsort(top, kind="stable")
-    h1, h2, key, place, top = h1[order], h2[order], key[order], place[order], top[order]
-    edges = _bucket_edges(top, buckets)
+    order, edges = _by_bucket(h1, buckets)
+    h1, h2, key, place = h1[order], h2[order], key[order], place[order]
     full = [i for i in range(buckets) if edges[i + 1] > edges[i]]
-    rows, number = np.unique(key, return_inverse=True)
-
-    def cut(x: np.ndarray) -> list[np.ndarray]:
-        return [x[edges[i] : edges[i + 1]] for i in full]
-
-    # row references are positions in the list of rows that this bucket's part names
-    rows_of, refs = [], []
-    for part in cut(number):
-        names, ref = np.unique(part, return_inverse=True)
-        rows_of.append(rows[names].tobytes())
-        refs.append(ref.astype(np.uint32).tobytes())
+    rows_of, lengths, steps = [], [], []
+    for i in full:
+        # rows stand together: each row once with its number of windows, places as steps
+        part, at = key[edges[i] : edges[i + 1]], place[edges[i] : edges[i + 1]]
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        rows_of.append(part[first].tobytes())
+        lengths.append(np.diff(np.append(first, len(part))).astype("<u4").tobytes())
+        steps.append(np.diff(at, prepend=np.uint32(0)).astype("<u4").tobytes())
     return pa.RecordBatch.from_pydict(
         {
             "bucket": pa.array(full, pa.int64()),
-            "h1": pa.array([x.tobytes() for x in cut(h1)], pa.binary()),
-            "h2": pa.array([packed(x, 4) for x in cut(h2)], pa.binary()),
+            "h1": pa.array([h1[edges[i] : edges[i + 1]].tobytes() for i in full], pa.binary()),
+            "h2": pa.array([packed(h2[edges[i] : edges[i + 1]], 4) for i in full], pa.binary()),
             "rows": pa.array(rows_of, pa.binary()),
-            "ref": pa.array(refs, pa.binary()),
-            "place": pa.array([x.tobytes() for x in cut(place)], pa.binary()),
+            "lengths": pa.array(lengths, pa.binary()),
+            "steps": pa.array(steps, pa.binary()),
         }
     )
 
 
 def _windows(block: int, size: int, buckets: int):
+    """Columns: key, id, text, numbers of the hit blocks."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = ([], [], [], []), 0
         for batch in batches:
-            batch = batch.filter(pa.compute.is_valid(batch.column(2)))
-            key, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2).to_pylist()
-            for w in word_chunks(batch.column(1)):
+            batch = batch.filter(pa.compute.is_valid(batch.column(3)))
+            key, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(3).to_pylist()
+            for w in word_chunks(batch.column(2)):
                 at = _grown(w, lists[w.rows], block, size)
                 row = w.row_of_word()[at]
                 held[0].append(w.windows(size)[at])
@@ -162,12 +179,9 @@ def _windows(block: int, size: int, buckets: int):
 
 def _repeated(table: pa.Table) -> pa.Table:
     """Windows of one bucket whose word sequence occurs more than once, by row."""
-    h1 = np.frombuffer(b"".join(table["h1"].to_pylist()), np.uint64)
-    h2 = unpacked_column(table["h2"], 4)
-    key = np.concatenate(
-        [np.frombuffer(r, np.int64)[np.frombuffer(f, np.uint32)] for r, f in zip(table["rows"].to_pylist(), table["ref"].to_pylist(), strict=True)]
-    )
-    place = np.frombuffer(b"".join(table["place"].to_pylist()), np.uint32)
+    h1, h2 = joined(table["h1"], "<u8"), unpacked(b"".join(table["h2"].to_pylist()), 4)
+    key = np.repeat(joined(table["rows"], "<i8"), joined(table["lengths"], "<u4"))
+    place = np.concatenate([np.cumsum(np.frombuffer(x, "<u4"), dtype=np.uint32) for x in table["steps"].to_pylist()])
     order = np.lexsort((h2, h1))
     same = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
     found = np.zeros(len(h1), bool)
@@ -181,11 +195,13 @@ def _repeated(table: pa.Table) -> pa.Table:
 
 
 def _kept(size: int):
+    """Columns: key, id, text, copy, places of the repeated windows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(2).to_pylist()
+            equal, lists = batch.column(3).to_pylist(), batch.column(4).to_pylist()
             n_words, n_removed, kept_texts, spans = [], [], [], []
-            for w in word_chunks(batch.column(1)):
+            for w in word_chunks(batch.column(2)):
                 raw = w.data.tobytes()
                 for i, parts in enumerate(lists[w.rows]):
                     lo, hi = w.offsets[i], w.offsets[i + 1]
@@ -195,6 +211,8 @@ def _kept(size: int):
                         np.add.at(cover, at, 1)
                         np.add.at(cover, at + size, -1)
                     gone = np.cumsum(cover)[:-1] > 0
+                    if equal[w.rows.start + i] is not None and hi - lo >= size:
+                        gone[:] = True  # every window also starts in the equal text
                     stay = np.flatnonzero(~gone) + lo
                     text = b" ".join([raw[s:e] for s, e in zip(w.starts[stay].tolist(), w.ends[stay].tolist(), strict=True)])
                     step = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
@@ -204,7 +222,7 @@ def _kept(size: int):
                     spans.append([{"start": int(s), "end": int(e)} for s, e in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1), strict=True)])
             yield pa.RecordBatch.from_pydict(
                 {
-                    "doc_id": batch.column(0),
+                    "doc_id": batch.column(1),
                     "n_words": pa.array(n_words, pa.int64()),
                     "n_removed": pa.array(n_removed, pa.int64()),
                     "kept_text": pa.array(kept_texts, pa.string()),
@@ -228,17 +246,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("a window must hold a whole reference block: 2 * block - 1 <= size")
     buckets = buckets_for(text_bytes(docs, text_col))
     rows = keyed(docs, id_col, text_col)
-    probes = rows.select(KEY, "text").mapInArrow(_probe(block, buckets), "bucket long, once binary, often binary, block binary, row binary, number binary")
+    equal = copies(rows)
+    # the same columns of `rows` in all three joins, so that Spark shuffles the texts once
+    some = rows.join(equal, KEY, "left").select(KEY, "doc_id", "text", "copy")
+    probes = some.mapInArrow(_probe(block, buckets), "bucket long, once binary, often binary, block binary, row binary, number binary")
     hits = probes.groupBy("bucket").applyInArrow(_hit, f"{KEY} long, numbers binary")
     hits = hits.groupBy(KEY).agg(F.collect_list("numbers").alias("numbers"))
-    tried = rows.join(hits, KEY, "left").select(KEY, "text", "numbers")
-    grown = tried.mapInArrow(_windows(block, size, buckets), "bucket long, h1 binary, h2 binary, rows binary, ref binary, place binary")
+    tried = rows.join(hits, KEY, "left").select(KEY, "doc_id", "text", "numbers")
+    grown = tried.mapInArrow(_windows(block, size, buckets), "bucket long, h1 binary, h2 binary, rows binary, lengths binary, steps binary")
     repeated = grown.groupBy("bucket").applyInArrow(_repeated, f"{KEY} long, places binary")
     repeated = repeated.groupBy(KEY).agg(F.collect_list("places").alias("places"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return (
-        rows.join(repeated, KEY, "left")
-        .select("doc_id", "text", "places")
+        rows.join(equal, KEY, "left")
+        .join(repeated, KEY, "left")
+        .select(KEY, "doc_id", "text", "copy", "places")
         .mapInArrow(
             _kept(size),
             f"doc_id {kind}, n_words long, n_removed long, kept_text string, repeats array<struct<start:int,end:int>>",

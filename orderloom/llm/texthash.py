@@ -120,6 +120,38 @@ def unpacked(raw: bytes, width: int) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.uint64, copy=False)
 
 
-def unpacked_column(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    """All values of a column of packed arrays."""
-    return unpacked(b"".join(column.to_pylist()), width)
+#: Bits of a hash that `packed_sorted` keeps; the bucket that a hash falls into adds its own.
+SET_BITS = 36
+
+
+def packed_sorted(values: np.ndarray) -> bytes:
+    """Sorted values below 2**SET_BITS: how many share their upper bits, then the lower bits of each.
+
+    Large sets take a little over three bytes a value, small ones a little over four.
+    """
+    low_bytes = 3 if len(values) >= 2048 else 4
+    low = 8 * low_bytes
+    heads = np.bincount((values >> _U(low)).astype(np.int64), minlength=1 << (SET_BITS - low)).astype("<u4")
+    return bytes([low_bytes]) + heads.tobytes() + packed(values, low_bytes)
+
+
+def unpacked_sorted(raw: bytes) -> np.ndarray:
+    low_bytes = raw[0]
+    n = 1 << (SET_BITS - 8 * low_bytes)
+    heads = np.frombuffer(raw, "<u4", n, 1)
+    return unpacked(raw[1 + 4 * n :], low_bytes) + (np.repeat(np.arange(n, dtype=np.uint64), heads) << _U(8 * low_bytes))
+
+
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket by the upper 32 bits, which `packed_sorted` does not keep."""
+    return ((hashes >> _U(32)) * _U(buckets)) >> _U(32)
+
+
+def cuts(sorted_buckets: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket begins in sorted bucket numbers, and the end."""
+    return np.searchsorted(sorted_buckets, np.arange(buckets + 1, dtype=sorted_buckets.dtype))
+
+
+def joined(column: pa.ChunkedArray, dtype: str) -> np.ndarray:
+    """All values of a column of raw arrays."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype)
