@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import language_id, mixing, oracles, secret_scan
+from orderloom.llm import jaccard_join, language_id, mixing, oracles, secret_scan
 from orderloom.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join.link_components(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
@@ -37,6 +42,7 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_language_id": op3_language_id,
     "op4_secret_scan": op4_secret_scan,
     "op6_source_mix": op6_source_mix,
@@ -44,4 +50,5 @@ QUERIES: dict[str, Query] = {
 
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op2_jaccard_join": oracles.JACCARD_JOIN,
 }
