@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import jaccard_join, language_id, mixing, oracles, secret_scan
+from orderloom.llm import decontaminate, jaccard_join, language_id, mixing, oracles, secret_scan
 from orderloom.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,12 +40,18 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", "doc_start", "item_start", "n_words", "n_equal", "item_words")
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_language_id": op3_language_id,
     "op4_secret_scan": op4_secret_scan,
     "op6_source_mix": op6_source_mix,
+    "op8_decontaminate": op8_decontaminate,
 }
 
 ORACLE: dict[str, str] = {
