@@ -46,3 +46,37 @@ reach(x, y) AS (SELECT x, y FROM edges UNION SELECT r.x, e.y FROM reach r JOIN e
 SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, least(d.doc_id, coalesce(min(r.y), d.doc_id)) AS component_id
 FROM docs d LEFT JOIN sizes USING (doc_id) LEFT JOIN reach r ON r.x = d.doc_id GROUP BY d.doc_id
 """
+
+#: Host, path and the form that aliases share; see url_filter.
+_HOST = r"coalesce(translate(regexp_extract({u}, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"
+_PATH = r"coalesce(regexp_extract({u}, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '')"
+_QUERY = r"""array_to_string(list_sort(list_filter(string_split(regexp_extract({u}, '^.*?://[^?#]*\?([^#]*)', 1, 's'), '&'),
+  lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|gclid|fbclid|ref|mc_[a-z]+)=', 'i'))), '&')"""
+_FORM = f"""CASE WHEN contains({{u}}, '://') THEN {_HOST} || regexp_replace({_PATH}, '/+$', '') ||
+  CASE WHEN {_QUERY} <> '' THEN '?' || {_QUERY} ELSE '' END END"""
+
+URL_FILTER = rf"""
+WITH RECURSIVE rules(verdict, rule, h, p) AS (VALUES
+  ('allow', 'com/', 'com', '/'), ('block', 'example.com/en/', 'example.com', '/en/'), ('allow', 'www.example.com/en/', 'www.example.com', '/en/'),
+  ('block', 'net/es/', 'net', '/es/'), ('block', 'net/fr/', 'net', '/fr/')),
+seen AS (SELECT page_id, url, html, {_HOST.format(u="url")} AS host, {_PATH.format(u="url")} AS path, {_FORM.format(u="url")} AS form FROM pages),
+named AS (
+  SELECT form, unnest(list_concat(
+    regexp_extract_all(html, '<link\b[^>]*?\brel\s*=\s*["'']?canonical\b[^>]*?\bhref\s*=\s*["'']?([^"''\s>]+)', 1, 'is'),
+    regexp_extract_all(html, '<meta\b[^>]*?\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*?\bcontent\s*=\s*["'']?\s*[0-9.]*\s*;\s*url\s*=\s*[''"]?([^"''\s>]+)', 1, 'is'))) AS url
+  FROM seen WHERE form IS NOT NULL
+),
+ends AS (SELECT form, url, {_HOST.format(u="url")} AS host, {_PATH.format(u="url")} AS path, {_FORM.format(u="url")} AS other FROM named WHERE contains(url, '://')),
+edges AS (SELECT form AS a, other AS b FROM ends UNION SELECT other, form FROM ends),
+places AS (SELECT form, host, path FROM seen WHERE form IS NOT NULL UNION SELECT other, host, path FROM ends),
+fits AS (
+  SELECT s.host, s.path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM seen UNION SELECT DISTINCT host, path FROM ends) s
+  JOIN rules ON (s.host = h OR ends_with(s.host, '.' || h)) AND starts_with(s.path, p) GROUP BY ALL
+),
+said AS (SELECT form, bool_or(verdict = 'allow') AS allowed, bool_or(verdict = 'block') AS blocked FROM places JOIN fits USING (host, path) GROUP BY form),
+reach(a, b) AS (SELECT form, form FROM places UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+shared AS (SELECT a AS form, CASE WHEN bool_or(allowed) THEN 'allow' WHEN bool_or(blocked) THEN 'block' END AS verdict FROM reach JOIN said ON b = said.form GROUP BY a)
+SELECT page_id, s.host, s.path, rule, coalesce(f.verdict, shared.verdict, 'allow') AS verdict
+FROM seen s LEFT JOIN fits f ON s.host = f.host AND s.path = f.path LEFT JOIN shared ON s.form = shared.form
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontaminate, jaccard_join, language_id, mixing, oracles, secret_scan
+from orderloom.llm import decontaminate, jaccard_join, language_id, mixing, oracles, secret_scan, url_filter
 from orderloom.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = url_filter.judge(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "item_id", "doc_start", "item_start", "n_words", "n_equal", "item_words")
@@ -51,10 +56,12 @@ QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op4_secret_scan": op4_secret_scan,
     "op6_source_mix": op6_source_mix,
+    "op7_url_filter": op7_url_filter,
     "op8_decontaminate": op8_decontaminate,
 }
 
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op2_jaccard_join": oracles.JACCARD_JOIN,
+    "op7_url_filter": oracles.URL_FILTER,
 }
