@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontaminate, jaccard_join, language_id, mixing, oracles, secret_scan, url_filter
+from orderloom.llm import decontaminate, jaccard_join, language_id, mixing, oracles, quality_rules, secret_scan, url_filter
 from orderloom.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,15 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "item_id", "doc_start", "item_start", "n_words", "n_equal", "item_words")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, _ = quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+        (~failed & (F.col("rule") == 0)).alias("kept"), F.col("rule").cast("long").alias("rule"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -58,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op6_source_mix": op6_source_mix,
     "op7_url_filter": op7_url_filter,
     "op8_decontaminate": op8_decontaminate,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE: dict[str, str] = {
