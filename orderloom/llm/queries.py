@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontaminate, jaccard_join, language_id, mixing, oracles, quality_rules, secret_scan, url_filter
+from orderloom.llm import decontaminate, jaccard_join, language_id, mixing, oracles, pii, quality_rules, secret_scan, url_filter
 from orderloom.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(_table(spark, sf_dir, "documents")))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.extract(_table(spark, sf_dir, "documents")))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "source", "size", "source_size", "target", "taken")
@@ -64,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_language_id": op3_language_id,
     "op4_secret_scan": op4_secret_scan,
+    "op5_pii": op5_pii,
     "op6_source_mix": op6_source_mix,
     "op7_url_filter": op7_url_filter,
     "op8_decontaminate": op8_decontaminate,
