@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontaminate, jaccard_join, language_id, mixing, oracles, pii, quality_rules, secret_scan, url_filter
+from orderloom.llm import arc_warc, decontaminate, jaccard_join, language_id, mixing, oracles, pii, quality_rules, secret_scan, url_filter
 from orderloom.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,11 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "item_id", "doc_start", "item_start", "n_words", "n_equal", "item_words")
 
 
+def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = arc_warc.round_trip(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -72,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op6_source_mix": op6_source_mix,
     "op7_url_filter": op7_url_filter,
     "op8_decontaminate": op8_decontaminate,
+    "op9_arc_to_warc": op9_arc_to_warc,
     "op10_quality_rules": op10_quality_rules,
 }
 
