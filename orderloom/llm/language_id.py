@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 MAX_N, BITS = 3, 15
 LANDMARKS_PER_LANGUAGE, PER_LANGUAGE, RIDGE = 24, 300, 1e-3
 UNKNOWN = "und"
+#: Below this score the text is in none of the learned languages; 1 is a typical text of the language, 0 is none.
+LEAST_SCORE = 0.25
 _LETTER = re.compile(r"[^\W\d_]")
 _GAPS = re.compile(r"[\W\d_]+")
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
@@ -167,16 +169,18 @@ def predict(docs: DataFrame, model: KernelModel, text_col: str = "text", keep: t
     no rows. Further columns are not read.
     """
     names = [f"c{i}" for i in range(len(keep))]
-    taken = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], F.col(text_col).alias("text"))
+    columns = [F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)]
+    at = keep.index(text_col) if text_col in keep else len(keep)
+    taken = docs.select(*columns, *([F.col(f"`{text_col}`").alias("text")] if at == len(keep) else []))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few megabytes: landmarks x n-gram numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lang, score = shared.value.predict(batch.column(batch.num_columns - 1).to_pylist())
-            columns = [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64())]
+            lang, score = shared.value.predict(batch.column(at).to_pylist())
+            columns = [*batch.columns[: len(names)], pa.array(lang, pa.string()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang_pred", "score"])
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in taken.schema.fields[:-1])
+    schema = ", ".join(f"{n} {taken.schema[n].dataType.simpleString()}" for n in names)
     out = taken.mapInArrow(run, f"{schema}, lang_pred string, score double")
     return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], "lang_pred", "score")
 
@@ -191,3 +195,18 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     model = fit(docs.where(~held_out(id_col)), text_col, lang_col)
     out = predict(docs, model, text_col, (id_col,))
     return out.select(F.col(id_col), held_out(id_col).alias("held_out"), "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least_score: float = LEAST_SCORE) -> DataFrame:
+    """Rows and columns of `docs` whose text has letters and scores at least `least_score` for its best language.
+
+    The model is learned from the rows that are not held out; nothing but the text decides. Without labelled rows
+    there is no model, and no row is accepted.
+    """
+    model = fit(docs.where(~held_out(id_col)), text_col, lang_col)
+    names = tuple(docs.columns)
+    inner = [f"d{i}" for i in range(len(names))]  # free of clashes with lang_pred and score
+    at = inner[names.index(text_col)]
+    out = predict(docs.toDF(*inner), model, at, tuple(inner))
+    kept = out.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    return kept.select(*[F.col(n).alias(c) for n, c in zip(inner, names, strict=True)])

@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.llm.rows import KEY, row_key
 from orderloom.session import stored
 
 WEIGHTS, MAX_REPEATS = (1, 2, 3), 3
@@ -135,3 +136,14 @@ def _cut(placed: DataFrame, budget: float) -> tuple[float, tuple[float, str] | N
     fits = inside.withColumn("running", running).where(F.col("running") <= budget - done)
     last = fits.agg(F.max(F.struct("finish", "h")).alias("last")).first().last
     return low, (None if last is None else (last.finish, last.h))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:  # noqa: ANN003
+    """Rows of `docs` that the mix takes, with size, source_size, target and taken (repeated rows as one, with their sum)."""
+    names = docs.columns
+    marked = docs.withColumn(KEY, row_key(id_col, text_col))
+    taken = mix(marked, id_col, text_col, source_col, keep=(KEY,), **options).where("taken > 0")
+    figures = [F.first(c).alias(c) for c in ("size", "source_size", "target")]
+    taken = taken.groupBy(KEY).agg(*figures, F.sum("taken").alias("taken"))
+    kept = marked.select(KEY, F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")).join(taken, KEY).dropDuplicates([KEY])
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in names], "size", "source_size", "target", "taken")

@@ -161,35 +161,38 @@ def scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_
     Null and empty texts have none. Repeated rows get equal answers; an empty table gives no rows; other columns are
     not read.
     """
-    return _with_spans(docs, text_col, keep, False)
+    return _with_spans(docs, text_col, keep, None).withColumnRenamed(FOUND, "found")
 
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """All rows and columns of `docs`, with every found span replaced by `mark` (overlapping spans by one)."""
-    names = docs.columns
-    masked = _with_spans(docs, text_col, tuple(names), mark)
-    return masked.select(*[F.col("masked").alias(c) if c == text_col else F.col(c) for c in names], F.col("found").alias("__found")).drop("__found")
+    return _with_spans(docs, text_col, tuple(docs.columns), mark).drop(FOUND)
 
 
-def _with_spans(docs: DataFrame, text_col: str, keep: tuple[str, ...], mark: str | bool) -> DataFrame:
+FOUND = "__found"
+_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _with_spans(docs: DataFrame, text_col: str, keep: tuple[str, ...], mark: str | None) -> DataFrame:
+    """`keep` columns with the spans; with a mark, the text among them is masked."""
     inner = [f"c{i}" for i in range(len(keep))]
-    taken = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, inner, strict=True)], F.col(f"`{text_col}`").alias("text"))
-    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    at = keep.index(text_col) if text_col in keep else len(keep)
+    columns = [F.col(f"`{c}`").alias(n) for c, n in zip(keep, inner, strict=True)]
+    taken = docs.select(*columns, *([F.col(f"`{text_col}`").alias("text")] if at == len(keep) else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+            texts = batch.column(at).to_pylist()
             found = [spans_of(t) for t in texts]
-            listed = pa.array([[{"kind": k, "start": s, "end": e} for s, e, k in f] for f in found], kind)
-            masked = [t if not f or mark is False else _masked(t, f, mark) for t, f in zip(texts, found, strict=True)]
-            extra = [listed] if mark is False else [listed, pa.array(masked, pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *extra], names=[*inner, "found", "masked"][: len(inner) + len(extra)])
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in taken.schema.fields[:-1])
-    schema += ", found array<struct<kind:string,start:int,end:int>>" + (", masked string" if mark is not False else "")
-    out = taken.mapInArrow(run, schema)
-    rest = [] if mark is False else ["masked"]
-    return out.select(*[F.col(n).alias(c) for n, c in zip(inner, keep, strict=True)], "found", *rest)
+            out = list(batch.columns[: len(inner)])
+            if mark is not None:
+                out[at] = pa.array([_masked(t, f, mark) if f else t for t, f in zip(texts, found, strict=True)], pa.string())
+            listed = pa.array([[{"kind": k, "start": s, "end": e} for s, e, k in f] for f in found], _SPANS)
+            yield pa.RecordBatch.from_arrays([*out, listed], names=[*inner, FOUND])
+
+    schema = ", ".join(f"{n} {taken.schema[n].dataType.simpleString()}" for n in inner)
+    out = taken.mapInArrow(run, f"{schema}, {FOUND} array<struct<kind:string,start:int,end:int>>")
+    return out.select(*[F.col(n).alias(c) for n, c in zip(inner, keep, strict=True)], FOUND)
 
 
 def _masked(text: str, spans: list[tuple[int, int, str]], mark: str) -> str:
