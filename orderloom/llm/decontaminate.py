@@ -99,7 +99,7 @@ def overlaps(
 
 
 def _segment(equal: Column) -> Column:
-    """The segment with the highest score: +1 for an equal word, -PENALTY for a different one. First of ties."""
+    """The segment with the highest score: +1 for an equal word, -PENALTY for a different one; of ties the most equal words."""
 
     def state(score, at, begin, equals, top, low, high, most):  # noqa: ANN001, ANN202
         names = ("score", "at", "begin", "equals", "top", "from", "to", "equal")
@@ -107,12 +107,12 @@ def _segment(equal: Column) -> Column:
         return F.struct(*[v.cast("int").alias(n) for n, v in zip(names, values, strict=True)])
 
     def step(s, hit):  # noqa: ANN001, ANN202
-        fresh = s["score"] <= 0
+        fresh = s["score"] < 0
         begin = F.when(fresh, s["at"]).otherwise(s["begin"])
         score = F.when(fresh, F.lit(0)).otherwise(s["score"]) + F.when(hit, F.lit(1)).otherwise(F.lit(-PENALTY))
         equals = F.when(fresh, F.lit(0)).otherwise(s["equals"]) + hit.cast("int")
         at = s["at"] + 1
-        better = score > s["top"]
+        better = (score > s["top"]) | ((score == s["top"]) & (equals > s["equal"]))
         return state(
             score, at, begin, equals, F.greatest(score, s["top"]), F.when(better, begin).otherwise(s["from"]),
             F.when(better, at).otherwise(s["to"]), F.when(better, equals).otherwise(s["equal"]),
