@@ -217,4 +217,4 @@ PCT1 = "CAST((failures * 2000 + (SELECT count(*) FROM failed)) // ((SELECT count
 )
 def analyze_failures(spark, sf):
     """Failures by status, host and message."""
-    return crawl.failure_report(view(spark, sf, "crawl"))
+    return crawl.failure_report(view(spark, sf, "crawl"), message_length=60)

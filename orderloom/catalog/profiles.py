@@ -674,58 +674,49 @@ def table_metadata(spark, sf):
     return out
 
 
-DISCOVER = """SELECT '_id' AS path, n AS occurrences, 'string' AS kinds, 'STRING' AS recommended_type FROM total
-UNION ALL SELECT 'option', n, 'array,object,string', 'STRING (mixed types)' FROM total
-UNION ALL SELECT 'store_id', n, 'int,string', 'STRING (mixed types)' FROM total
-UNION ALL SELECT 'utm_source', n, 'bool,string', 'STRING (mixed types)' FROM total
-UNION ALL SELECT 'recommendation', n, 'bool', 'BOOL' FROM total
-UNION ALL SELECT 'recommendation_clicked_position', n, 'int', 'INT64' FROM total
-UNION ALL SELECT 'cart_products', (SELECT count(*) FROM ev WHERE collection = 'checkout_success' OR event_id % 2 = 0), 'array', 'ARRAY/REPEATED'
-UNION ALL SELECT 'cart_products[].amount', (SELECT 2 * count(*) FROM ev WHERE collection = 'checkout_success'), 'int', 'INT64'
-UNION ALL SELECT 'cart_products[].option[].value_id', (SELECT count(*) FROM ev WHERE collection = 'checkout_success'), 'int', 'INT64'
-UNION ALL SELECT 'option.alloy', (SELECT count(*) FROM ev WHERE event_id % 5 = 0), 'string', 'STRING'
-UNION ALL SELECT 'option[]', (SELECT count(*) FROM ev WHERE event_id % 5 = 1), 'string', 'STRING'
-UNION ALL SELECT 'option[].quality', (SELECT count(*) FROM ev WHERE event_id % 5 = 1), 'string', 'STRING'"""
+# All nodes of all documents. Objects inside arrays are not fields of their own, their members are.
+TREE = r"""SELECT l.event_id, l.line, regexp_replace(regexp_replace(t.fullkey, '^\$\.', ''), '\[\d+\]', '[]', 'g') AS path,
+  CASE t.type WHEN 'NULL' THEN NULL WHEN 'BOOLEAN' THEN 'bool' WHEN 'VARCHAR' THEN 'string' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object'
+    WHEN 'DOUBLE' THEN 'float' ELSE 'int' END AS kind
+FROM (SELECT event_id, line FROM jsonl WHERE trim(line) <> '') l, json_tree(l.line) t
+WHERE t.fullkey <> '$' AND NOT (t.type = 'OBJECT' AND t.fullkey LIKE '%]')"""
 
 
 @query(
     "discover_field_types",
     duck(
-        f"SELECT path, CAST(occurrences AS BIGINT) AS occurrences, kinds, recommended_type FROM ({DISCOVER})",
-        "ev",
-        total="SELECT count(*) AS n FROM ev",
+        """SELECT path, occurrences, array_to_string(kinds, ',') AS kinds,
+          CASE WHEN len(kinds) = 0 THEN 'STRING' WHEN kinds = ['float', 'int'] THEN 'FLOAT64' WHEN len(kinds) > 1 THEN 'STRING (mixed types)'
+            ELSE CASE kinds[1] WHEN 'bool' THEN 'BOOL' WHEN 'int' THEN 'INT64' WHEN 'float' THEN 'FLOAT64' WHEN 'string' THEN 'STRING'
+              WHEN 'array' THEN 'ARRAY/REPEATED' ELSE 'RECORD/STRUCT' END END AS recommended_type
+        FROM (SELECT path, CAST(count(*) AS BIGINT) AS occurrences, coalesce(list_sort(list(DISTINCT kind) FILTER (kind IS NOT NULL)), []) AS kinds FROM tree GROUP BY path)""",
+        "jsonl",
+        tree=TREE,
     ),
 )
 def discover_field_types(spark, sf):
-    """Kinds and proposed column type per JSON field (a dozen telling fields are shown)."""
+    """Kinds and proposed column type of every JSON field."""
     from orderloom.catalog.loads import _lines
     from orderloom.sources.jsonl import not_blank
 
     fields = discovery.document_fields(not_blank(_lines(spark, sf)))
-    found = discovery.recommended_types(discovery.field_kinds(fields))
-    shown = [
-        "_id", "option", "store_id", "utm_source", "recommendation", "recommendation_clicked_position", "cart_products",
-        "cart_products[].amount", "cart_products[].option[].value_id", "option.alloy", "option[]", "option[].quality",
-    ]
-    return found.where(F.col("path").isin(*shown))
+    return discovery.recommended_types(discovery.field_kinds(fields))
 
 
 @query(
     "field_presence_by_type",
     duck(
-        """SELECT collection, 'cart_products' AS path, CAST(count(*) AS BIGINT) AS occurrences FROM ev WHERE collection = 'checkout_success' OR event_id % 2 = 0 GROUP BY 1
-        UNION ALL SELECT collection, 'user_id_db', CAST(count(*) AS BIGINT) FROM ev WHERE user_id_db <> '' GROUP BY 1
-        UNION ALL SELECT collection, 'option.alloy', CAST(count(*) AS BIGINT) FROM ev WHERE event_id % 5 = 0 GROUP BY 1""",
-        "ev",
+        "SELECT json_extract_string(line, '$.collection') AS collection, path, CAST(count(*) AS BIGINT) AS occurrences FROM tree GROUP BY 1, 2",
+        "jsonl",
+        tree=TREE,
     ),
 )
 def field_presence_by_type(spark, sf):
-    """How often optional fields occur in each event type."""
+    """How often every field occurs in each event type."""
     from orderloom.catalog.loads import _lines
     from orderloom.functions.documents import json_scalar
     from orderloom.sources.jsonl import not_blank
 
     lines = not_blank(_lines(spark, sf)).withColumn("collection", json_scalar("line", "$.collection"))
-    fields = discovery.document_fields(lines, depth=2, carry=("collection",))
-    rows = fields.where(F.col("path").isin("cart_products", "user_id_db", "option.alloy"))
-    return rows.groupBy("collection", "path").agg(F.count("*").alias("occurrences"))
+    fields = discovery.document_fields(lines, carry=("collection",))
+    return fields.groupBy("collection", "path").agg(F.count("*").alias("occurrences"))

@@ -7,7 +7,6 @@ All views scale with the test tables. Nothing is sampled.
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,6 +110,7 @@ SELECT '{"_id":"' || _id || '","device_id":"' || device_id || '"'
   || ',"is_paypal":' || CASE WHEN event_id % 4 = 0 THEN 'true' WHEN event_id % 4 = 1 THEN '"false"' ELSE 'null' END
   || ',"recommendation":' || CASE WHEN recommendation THEN 'true' ELSE 'false' END
   || ',"recommendation_clicked_position":' || CASE WHEN event_id % 8 = 0 THEN CAST(event_id % 12 AS STRING) ELSE 'null' END
+  || ',"extra":{"a":{"b":{"c":{"d":{"e":{"f":' || CAST(event_id % 7 AS STRING) || '}}}}},"mix":[1,2,3,"x",{"late":true}]}'
   || '}' AS line, event_id
 FROM ev
 UNION ALL
@@ -119,7 +119,7 @@ SELECT '   ' AS line, event_id FROM ev WHERE event_id % 50 = 0
 
 # Order lines: one per row of lineitem, with money in cents and a few impossible quantities and prices.
 LINES = """
-SELECT /*SPREAD(l_orderkey)*/ l_orderkey, l_linenumber, l_partkey, l_suppkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date,
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date,
   CASE WHEN l_orderkey % 997 = 1 THEN 9999 WHEN l_orderkey % 991 = 2 THEN 1000 WHEN l_orderkey % 983 = 3 THEN 60
        ELSE CAST(l_quantity AS BIGINT) END AS quantity,
   CASE WHEN l_orderkey % 101 = 5 THEN 0
@@ -296,9 +296,6 @@ def _ordered(names: tuple[str, ...]) -> list[str]:
 
 
 def _spark_sql(sql: str, sf_dir: str) -> str:
-    # A table that is one local file is read by one task. Only then are its rows spread before they are dressed up.
-    one_file = os.path.isfile(f"{sf_dir}/lineitem.parquet")
-    sql = re.sub(r"/\*SPREAD\((\w+)\)\*/", r"/*+ REPARTITION(\1) */" if one_file else "", sql)
     sql = re.sub(r"@(\w+)@", lambda m: f"parquet.`{sf_dir}/{m.group(1)}.parquet`", sql)
     return re.sub(r"EPOCH\((\w+)\)", r"unix_seconds(CAST(\1 AS TIMESTAMP))", sql)
 
@@ -306,7 +303,7 @@ def _spark_sql(sql: str, sf_dir: str) -> str:
 def _duck_sql(sql: str) -> str:
     sql = re.sub(r"@(\w+)@", r"\1", sql)
     sql = re.sub(r"EPOCH\((\w+)\)", r"CAST(floor(epoch(\1)) AS BIGINT)", sql)
-    return re.sub(r"/\*SPREAD.*?\*/", "", sql).replace(" DIV ", " // ")
+    return sql.replace(" DIV ", " // ")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -37,7 +37,9 @@ def safe_decimal(c: Column | str, precision: int = 38, scale: int = 9) -> Column
 
 
 def safe_double(c: Column | str) -> Column:
-    return _col(c).try_cast("double")
+    """Double, or NULL when the text is not a number. Words such as NaN and Infinity and suffixes are no numbers."""
+    text = _col(c).cast("string")
+    return F.when(text.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"), text).try_cast("double")
 
 
 def sentinel_to_unknown(c: Column | str, sentinels: Sequence[str] = ()) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 OPTION_FIELDS = ("option_id", "option_label", "value_id", "value_label", "quality", "quality_label")
@@ -14,9 +14,20 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def parsed_json(text: Column | str) -> Column:
+    """JSON text as a variant, NULL when it is not valid. Of a repeated key the last value counts.
+
+    Spark rejects repeated keys unless the session allows them; the setting is read when the expression is analysed.
+    """
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return F.try_parse_json(_col(text))
+
+
 def json_scalar(document: Column | str, path: str) -> Column:
     """Scalar at `path` as text; NULL for a missing value, an object or an array."""
-    value = F.try_variant_get(F.try_parse_json(_col(document)), path, "variant")
+    value = F.try_variant_get(parsed_json(document), path, "variant")
     kind = F.schema_of_variant(value)
     return F.when(
         ~(kind.startswith("OBJECT") | kind.startswith("ARRAY")), F.try_variant_get(value, "$", "string")
@@ -39,7 +50,7 @@ def only_scalar(text: Column, document: Column, path: str) -> Column:
 
 
 def _array_options(text: Column) -> Column:
-    items = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
+    items = F.try_variant_get(parsed_json(text), "$", "array<variant>")
     objects = F.filter(items, lambda v: F.schema_of_variant(v).startswith("OBJECT"))
     return F.transform(
         objects,

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from orderloom.functions.documents import parsed_json
 
 ATTRIBUTE = 'struct<value:string>'
 # Fields of the embedded product object that are used.
@@ -38,37 +44,42 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _found(text: Column, pattern: str) -> Column:
-    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, 1))
+def _found(text: Column, pattern: str, may_be_empty: bool = False) -> Column:
+    """Group 1 of the first match, NULL without one. Only a group that can be empty needs a second look at the text."""
+    if may_be_empty:
+        return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, 1))
+    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+
+
+@F.pandas_udf(T.StringType())
+def _decoded(texts: pd.Series) -> pd.Series:
+    """All numeric and named character references; the names are those of the HTML standard."""
+    return texts.map(html.unescape, na_action="ignore")
 
 
 def plain_text(fragment: Column) -> Column:
-    """Text of an HTML fragment: tags removed, common entities decoded, ends trimmed."""
-    text = F.regexp_replace(fragment, r"(?s)<!--.*?-->|<[^>]*>", "")
-    for entity, char in (
-        ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"),
-    ):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.regexp_replace(text, r"^[\s ]+|[\s ]+$", "")
+    """Text of an HTML fragment: tags removed, character references decoded, ends trimmed."""
+    text = _decoded(F.regexp_replace(fragment, r"(?s)<!--.*?-->|<[^>]*>", ""))
+    return F.regexp_replace(text, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
 
 
-def product_name(html: Column | str) -> Column:
+def product_name(source: Column | str) -> Column:
     """Open Graph title, else the first span inside an h1, else the first h1."""
-    page = _col(html)
+    page = _col(source)
     tag = F.coalesce(
         _found(page, r"""(?is)(<meta\b[^>]*\bproperty\s*=\s*["']?og:title["'\s/>][^>]*>)"""),
         _found(page, r"""(?is)(<meta\b[^>]*\bproperty\s*=\s*og:title>)"""),
     )
     title = F.coalesce(_found(tag, r'(?is)\bcontent\s*=\s*"([^"]+)"'), _found(tag, r"(?is)\bcontent\s*=\s*'([^']+)'"))
-    span = _found(page, r"(?is)<h1\b[^>]*>(?:(?!</h1>).)*?<span\b[^>]*>(.*?)</span>")
-    heading = _found(page, r"(?is)<h1\b[^>]*>(.*?)</h1>")
+    span = _found(page, r"(?is)<h1\b[^>]*>(?:(?!</h1>).)*?<span\b[^>]*>(.*?)</span>", True)
+    heading = _found(page, r"(?is)<h1\b[^>]*>(.*?)</h1>", True)
     return F.coalesce(plain_text(title), plain_text(span), plain_text(heading))
 
 
 def embedded_json(html: Column | str) -> Column:
     """Text of the object assigned to `react_data` in a script; NULL when missing or not valid JSON."""
     text = _found(_col(html), r"(?s)var\s+react_data\s*=\s*(\{.*?\});")
-    return F.when(F.try_parse_json(text).isNotNull(), text)
+    return F.when(parsed_json(text).isNotNull(), text)
 
 
 def embedded_fields(doc: Column) -> dict[str, Column]:
@@ -92,7 +103,7 @@ def embedded_fields(doc: Column) -> dict[str, Column]:
 def linked_json(html: Column | str) -> Column:
     """Text of the structured-data script of a page."""
     tag = r"""<script\b(?=[^>]*\bid\s*=\s*["']structured-data["'])(?=[^>]*\btype\s*=\s*["']application/ld\+json["'])"""
-    return _found(_col(html), rf"(?is){tag}[^>]*>(.*?)</script>")
+    return _found(_col(html), rf"(?is){tag}[^>]*>(.*?)</script>", True)
 
 
 def linked_fields(item: Column) -> dict[str, Column]:

@@ -122,8 +122,11 @@ def quality_gate(summary: DataFrame, passing: float = 90.0, warning: float = 80.
     return summary.withColumn("verdict", verdict).withColumn("exit_code", code)
 
 
-def failure_report(results: DataFrame, hosts: int = 10, messages: int = 5, message_length: int = 60) -> DataFrame:
-    """Failures by HTTP status, the hosts with most of them, and the most common messages."""
+def failure_report(results: DataFrame, hosts: int = 10, messages: int = 5, message_length: int | None = None) -> DataFrame:
+    """Failures by HTTP status, the hosts with most of them, and the most common messages.
+
+    `message_length` cuts messages first, so that those which differ only behind it count as one.
+    """
     failed = failed_rows(results)
     total = failed.agg(F.count("*").alias("n")).scalar()
 
@@ -136,5 +139,6 @@ def failure_report(results: DataFrame, hosts: int = 10, messages: int = 5, messa
     parts = ranked("http_status", F.coalesce(F.col("http_status").cast("string"), F.lit("None")), failed, None)
     parts = parts.unionByName(ranked("host", url_host("url"), failed, hosts))
     texts = failed.where(~is_blank("error_message"))
-    parts = parts.unionByName(ranked("message", F.substring("error_message", 1, message_length), texts, messages))
+    message = F.col("error_message") if message_length is None else F.substring("error_message", 1, message_length)
+    parts = parts.unionByName(ranked("message", message, texts, messages))
     return parts.withColumn("failure_pct", percent(F.col("failures"), total, 1))

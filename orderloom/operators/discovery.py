@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.functions.documents import parsed_json
+
 # Names of the JSON kinds, and the column type proposed for a field of one kind.
 RECOMMENDED = {
     "bool": "BOOL", "int": "INT64", "float": "FLOAT64", "string": "STRING",
     "array": "ARRAY/REPEATED", "object": "RECORD/STRUCT",
 }
-ARRAY_SAMPLE = 3
 
 
 def _kind(value: Column) -> Column:
@@ -34,8 +35,8 @@ def _members_of(node: Column) -> Column:
 
 
 def _items_of(node: Column) -> Column:
-    """First members of an array node as nodes."""
-    items = F.slice(F.try_variant_get(node["value"], "$", "array<variant>"), 1, ARRAY_SAMPLE)
+    """Members of an array node as nodes."""
+    items = F.try_variant_get(node["value"], "$", "array<variant>")
     return F.transform(items, lambda v: F.struct(F.concat(node["path"], F.lit("[]")).alias("path"), v.alias("value")))
 
 
@@ -43,13 +44,26 @@ def _only(nodes: Column, kind: str) -> Column:
     return F.filter(nodes, lambda n: _kind(n["value"]) == kind)
 
 
-def document_fields(lines: DataFrame, line: str = "line", depth: int = 4, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per field occurrence: path, kind and text sample, down to `depth` levels.
+def nesting(text: Column) -> Column:
+    """How deep brackets are nested in a JSON text, strings aside."""
+    marks = F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"', ""), r"[^\[\]{}]+", "")
+    start = F.struct(F.lit(0).alias("level"), F.lit(0).alias("most"))
+
+    def step(s: Column, c: Column) -> Column:
+        level = s["level"] + F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)
+        return F.struct(level.alias("level"), F.greatest(s["most"], level).alias("most"))
+
+    return F.aggregate(F.split(marks, ""), start, step)["most"]
+
+
+def document_fields(lines: DataFrame, line: str = "line", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per field occurrence, at any depth: path, kind and text sample.
 
-    Array members are written as `path[]`; the first three members of an array are looked at. A document
-    is parsed once and opened level by level inside its row; the fields leave the row in one explode.
+    Array members are written as `path[]`, and all of them are looked at. A first pass finds the deepest nesting; a
+    document is then parsed once and opened level by level inside its row, and its fields leave it in one explode.
     """
-    root = F.array(F.struct(F.lit("").alias("path"), F.try_parse_json(line).alias("value")))
+    depth = lines.agg(F.max(nesting(F.col(line)))).first()[0] or 1
+    root = F.array(F.struct(F.lit("").alias("path"), parsed_json(line).alias("value")))
     df = lines.select(*carry, _only(root, "object").alias("_open"))
     levels = []
     for n in range(depth):

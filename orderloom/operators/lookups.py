@@ -11,43 +11,30 @@ from orderloom.functions.cleaning import dash_to_null
 from orderloom.functions.urls import ipv4_number
 from orderloom.operators.dedup import first_per_key
 
-# A seed with more rows than this is joined by hash like any table instead of being shipped everywhere.
-SMALL_TABLE_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = SMALL_TABLE_ROWS) -> DataFrame:
-    """Broadcast hint only after a count shows at most `rows` rows; the count stops there."""
-    small = df.limit(rows + 1).count() <= rows
-    return F.broadcast(df) if small else df
-
-
 def fx_pick(items: DataFrame, rates: DataFrame, keys: Sequence[str], tie_break: Sequence[Column | str] = ()) -> DataFrame:
     """Currency code and rate of each cart line; one row per `keys`.
 
     A rate fits when its symbol equals the line's symbol and its URL pattern is empty or matches the page.
     The lowest priority number wins; rates without a priority come last. No fit gives 'UNKNOWN' and 1.0.
+
+    The rates of a symbol become one array in that order, so a line meets one row and takes its first fitting element;
+    lines are not multiplied by rates. The window is left for repeated `keys` only.
     """
-    fits = (
-        F.col("transaction_currency_symbol") == F.col("_fx_symbol")
-    ) & (
-        F.col("_fx_pattern").isNull()
-        | (F.col("_fx_pattern") == "")
-        | F.expr("current_url LIKE _fx_pattern")
-    )
-    fx = rates.select(
-        F.col("currency_symbol").alias("_fx_symbol"),
-        F.col("url_pattern").alias("_fx_pattern"),
-        F.col("priority").alias("_fx_priority"),
-        F.col("currency_code").alias("_fx_code"),
-        F.col("rate_to_usd").alias("_fx_rate"),
-    )
-    joined = items.join(broadcast_if_small(fx), fits, "left")
-    order = [F.coalesce("_fx_priority", F.lit(999)), "_fx_code", "_fx_rate", *tie_break]
+    kind = rates.schema["rate_to_usd"].dataType
+    choice = F.struct(
+        F.coalesce("priority", F.lit(999)).alias("priority"), F.col("currency_code").alias("code"), F.col("rate_to_usd").alias("rate"),
+        F.col("url_pattern").alias("pattern"),
+    )
+    by_symbol = rates.where(F.col("currency_symbol").isNotNull()).groupBy(F.col("currency_symbol").alias("_fx_symbol"))
+    joined = items.join(by_symbol.agg(F.sort_array(F.collect_list(choice)).alias("_fx")), F.col("transaction_currency_symbol") == F.col("_fx_symbol"), "left")
+    fits = F.filter("_fx", lambda c: c["pattern"].isNull() | (c["pattern"] == "") | F.like(F.col("current_url"), c["pattern"]))
+    joined = joined.withColumn("_pick", F.get(fits, F.lit(0)))
+    order = [F.coalesce("_pick.priority", F.lit(999)), F.col("_pick.code"), F.col("_pick.rate"), *tie_break]
     best = first_per_key(joined, keys, order)
     return best.select(
         *items.columns,
-        F.coalesce("_fx_code", F.lit("UNKNOWN")).alias("transaction_currency_code"),
-        F.coalesce("_fx_rate", F.lit(1).cast(rates.schema["rate_to_usd"].dataType)).alias("transaction_rate_to_usd"),
+        F.coalesce("_pick.code", F.lit("UNKNOWN")).alias("transaction_currency_code"),
+        F.coalesce("_pick.rate", F.lit(1).cast(kind)).alias("transaction_rate_to_usd"),
     )
 
 
@@ -87,7 +74,10 @@ def locate_ips(ips: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
     ).where(F.col("_asked"))
     place = F.when(F.col("_at") <= F.col("_range._end"), F.col("_range._place"))
     found = found.select("_at", place.alias("_place"))
-    return wanted.join(found, "_at", "left").select(
+    # text that is no IPv4 address has nothing to join with, and would all meet in one partition
+    placed = wanted.where(F.col("_at").isNotNull()).join(found, "_at", "left").select("ip", "_place")
+    others = wanted.where(F.col("_at").isNull()).select("ip", F.lit(None).cast(found.schema["_place"].dataType).alias("_place"))
+    return placed.union(others).select(
         "ip", *[dash_to_null(F.col(f"_place.{c}")).alias(c) for c in ("country", "region", "city")]
     )
 

@@ -138,8 +138,7 @@ def joined_values(df: DataFrame, keys: Sequence[str], column: str, alias: str, l
     from orderloom.sources.exports import first_per_type
 
     values = df.where(F.col(column).isNotNull()).select(*keys, column).distinct()
-    if len(keys) == 1:
-        values = first_per_type(values, keys[0], [column], limit)
+    values = first_per_type(values, keys, [column], limit)
     lists = values.groupBy(*keys).agg(F.array_sort(F.collect_list(column)).alias("_v"))
     return lists.select(*keys, F.array_join("_v", sep).alias(alias))
 

@@ -23,9 +23,12 @@ FINE = COARSE * 65536
 
 
 def _bin(value: Column, per_fold: int) -> Column:
-    """Monotone bin number of a value."""
+    """Monotone bin number of a value. NaN sorts last and has the top bin; infinities the outermost ones below it."""
     x = value.cast("double")
-    return F.floor(F.signum(x) * F.log1p(F.abs(x)) * per_fold)
+    top = F.lit(2**62)
+    endless = F.abs(x) == float("inf")
+    number = F.floor(F.signum(x) * F.log1p(F.when(endless, 0.0).otherwise(F.abs(x))) * per_fold)
+    return F.when(F.isnan(x), top).when(endless, F.signum(x).cast("bigint") * (top - 1)).otherwise(number)
 
 
 def exact_quantiles(

@@ -151,8 +151,11 @@ def fact_sales_order_line(
         .join(place, same_place, "left")
         .join(customer, "customer_natural_key", "left")
     )
-    total = F.col("quantity").cast("decimal(20,0)") * F.col("transaction_price").cast("decimal(18,4)")
-    rate_usd = F.coalesce("transaction_rate_to_usd", F.lit(1)).cast("decimal(18,6)")
+    # Nine digits all the way. Precisions are chosen so that Spark keeps the scale of each product; an amount of more
+    # than fifteen digits before the point is NULL instead of ending the job.
+    price = F.col("transaction_price").try_cast("decimal(38,9)")
+    total = F.col("quantity").try_cast("decimal(13,0)") * price.try_cast("decimal(24,9)")
+    rate_usd = F.coalesce("transaction_rate_to_usd", F.lit(1)).try_cast("decimal(15,9)")
     lines = joined.select(
         "event_date",
         F.coalesce("date_key", F.lit(NO_DATE_KEY)).alias("date_key"),
@@ -161,10 +164,10 @@ def fact_sales_order_line(
             for k in ("product_key", "customer_key", "location_key", "device_key", "exchange_rate_key")
         ],
         "event_id", "order_id", "store_id", "ip_address", "quantity",
-        F.col("transaction_price").cast("decimal(18,4)").alias("unit_price"),
+        price.alias("unit_price"),
         "transaction_currency_symbol", "transaction_currency_code",
-        total.cast("decimal(28,4)").alias("line_total"),
-        (total.cast("decimal(22,4)") * rate_usd).cast("decimal(28,6)").alias("line_total_usd"),
+        total.alias("line_total"),
+        (total.try_cast("decimal(22,9)") * rate_usd).try_cast("decimal(38,9)").alias("line_total_usd"),
         "is_recommendation_influenced",
         F.col("event_timestamp").alias("order_timestamp"),
         F.col("product_id").alias("_product_id"),

@@ -49,7 +49,9 @@ def append_columns(old: DataFrame, new: DataFrame) -> DataFrame:
 def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -75,6 +77,7 @@ def run_incremental(
     fresh = build(mark)
     if target is None:
         writer = fresh.hint("rebalance", column).sortWithinPartitions(column, *cluster).write
-        writer.mode("overwrite").partitionBy(column).parquet(path)
+        # static whatever the session says: days that the fresh build lacks must go
+        writer.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(column).parquet(path)
     else:
         overwrite_days(fresh, path, column, cluster)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def local_session(app: str = "orderloom", cores: str = "8", memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks. On a cluster, pass your own session instead."""
+    scratch = tempfile.mkdtemp(prefix="orderloom-checkpoint-")
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -18,6 +19,7 @@ def local_session(app: str = "orderloom", cores: str = "8", memory: str = "8g")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", scratch)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

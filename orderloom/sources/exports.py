@@ -55,9 +55,10 @@ def sample_of_types(df: DataFrame, column: str, types: Sequence[str], key: str,
     return of_types(df, column, types).orderBy(key).limit(size)
 
 
-def first_per_type(df: DataFrame, column: str, key: Sequence[str | Column], size: int = 1) -> DataFrame:
-    """The first `size` rows of every type. Spark trims each map task to `size` rows per type first."""
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(column).orderBy(*key)))
+def first_per_type(df: DataFrame, column: str | Sequence[str], key: Sequence[str | Column], size: int = 1) -> DataFrame:
+    """The first `size` rows of every type (one column or several). Each map task is trimmed to `size` rows per type first."""
+    columns = [column] if isinstance(column, str) else list(column)
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*columns).orderBy(*key)))
     return ranked.where(F.col("_rank") <= size).drop("_rank")
 
 

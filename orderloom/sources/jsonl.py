@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.functions.documents import array_option, cart_option, looks_nested, normalize_option, only_scalar
+from orderloom.functions.documents import array_option, cart_option, looks_nested, normalize_option, only_scalar, parsed_json
 from orderloom.sources import schemas
 
 EMPTY_AS_BLANK = ("user_id_db", "email_address")
@@ -69,7 +69,7 @@ def parse_lines(
     parsed = (
         not_blank(lines)
         .select(line, F.from_json(line, _text_schema(table), {"mode": mode}).alias("d"))
-        .withColumn("v", F.when(looks_nested([F.col(f"d.{n}") for n in scalars]), F.try_parse_json(line)))
+        .withColumn("v", F.when(looks_nested([F.col(f"d.{n}") for n in scalars]), parsed_json(line)))
     )
     out: list[Column] = []
     for name, kind in schemas.TABLES[table].items():
@@ -105,7 +105,7 @@ def load_ip_locations(lines: DataFrame, **options) -> DataFrame:
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """Lines that are not JSON objects."""
-    kind = F.schema_of_variant(F.try_parse_json(F.col("line")))
+    kind = F.schema_of_variant(parsed_json("line"))
     return not_blank(lines).where(F.coalesce(~kind.startswith("OBJECT"), F.lit(True)))
 
 

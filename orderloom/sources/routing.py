@@ -9,11 +9,13 @@ RAW_TABLES = ("events", "ip_locations", "products")
 
 
 def raw_glob(root: str, table: str, date: str | None = None) -> str:
-    """Glob of the .jsonl.gz files of one table, for one yyyymmdd date or for all."""
+    """Glob of the gzipped JSON-lines files of one table: all (exported parts too), or those named after one yyyymmdd date."""
     if table not in RAW_TABLES:
         raise ValueError(f"no raw table named {table!r}")
-    stem = f"{table}_{date or '*'}"
-    if table == "events" and date:
+    if date is None:
+        return f"{root.rstrip('/')}/raw/{table}/*.json*.gz"
+    stem = f"{table}_{date}"
+    if table == "events":
         stem += "_part*"
     return f"{root.rstrip('/')}/raw/{table}/{stem}.jsonl.gz"
 

@@ -1,7 +1,8 @@
-"""Load every newly arrived .jsonl.gz file into the raw table its path names."""
+"""Load every newly arrived gzipped JSON-lines file into the raw table its path names."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -12,9 +13,12 @@ from pyspark.sql.streaming import StreamingQuery
 from orderloom.sources.jsonl import parse_lines
 from orderloom.sources.routing import RAW_TABLES
 
+#: Delivered files (.jsonl.gz) and parts that `export_parts` writes (.json.gz).
+PATTERN = "*.json*.gz"
+
 
 def read_new_lines(
-    spark: SparkSession, root: str, table: str, files_per_batch: int = 1000, pattern: str = "*.jsonl.gz"
+    spark: SparkSession, root: str, table: str, files_per_batch: int = 1000, pattern: str = PATTERN
 ) -> DataFrame:
     """Stream of the lines of one raw table. Only its own folder is listed, so other files are never read."""
     return (
@@ -34,18 +38,20 @@ def autoload(
     tables: Sequence[str] = RAW_TABLES,
     strict: bool = True,
     files_per_batch: int = 1000,
-    pattern: str = "*.jsonl.gz",
+    pattern: str = PATTERN,
 ) -> list[StreamingQuery]:
     """Load all files that have not been loaded yet, then stop (run it again for later files).
 
     One query per table that has a folder. Each micro-batch writes its own `load_batch` partition, and a
     batch that is repeated after a failure overwrites that partition: every file is loaded exactly once.
+    Partitions carry the id that the checkpoint gives the query, so a new checkpoint never overwrites old loads.
     """
 
     def writer(table: str):
         def write(batch: DataFrame, batch_id: int) -> None:
             rows = parse_lines(batch.select("line"), table, strict=strict)
-            rows.write.mode("overwrite").parquet(f"{target}/{table}/load_batch={batch_id}")
+            query = json.loads(spark.read.text(f"{checkpoint}/{table}/metadata").first()[0])["id"]
+            rows.write.mode("overwrite").parquet(f"{target}/{table}/load_batch={query}-{batch_id}")
 
         return write
 
@@ -53,7 +59,9 @@ def autoload(
     for table in tables:
         try:
             lines = read_new_lines(spark, root, table, files_per_batch, pattern)
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             continue  # no file of this table has arrived yet
         queries.append(
             lines.writeStream.foreachBatch(writer(table))

@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from orderloom.sources.jsonl import rejected_lines
 from orderloom.functions import agents, calendar, cleaning as c, documents as d, history as h, pages as p, urls
 
 
@@ -129,6 +130,7 @@ def test_json_scalar(spark):
         ("<meta content='Band' property='og:title'/>", "Band"),
         ("<h1 class='a'>A <b>x</b><span> B &amp; C </span></h1>", "B & C"),
         ("<h1>A <i>b</i></h1>", "A b"),
+        ("<h1>Ring &euro;5 &#8217;x&#x41;&apos; &amp;lt; &nbsp;</h1>", "Ring \u20ac5 \u2019xA' &lt;"),
         ("<p>none</p>", None),
     ],
 )
@@ -136,6 +138,15 @@ def test_product_name(spark, html, name):
     assert one(spark, p.product_name, html) == name
 
 
+def test_repeated_keys_keep_the_last_value(spark):
+    assert one(spark, lambda x: d.json_scalar(x, "$.a"), '{"a":1,"b":2,"a":3}') == "3"
+    assert [tuple(o)[:2] for o in one(spark, d.normalize_option, '[{"option_id":"1","option_id":"2","option_label":"x"}]')] == [("2", "x")]
+    page = 'var react_data = {"product_id":1,"product_id":2};'
+    assert one(spark, p.embedded_json, page) == '{"product_id":1,"product_id":2}'
+    lines = spark.createDataFrame([('{"a":1,"a":2}',), ("[1]",), ("junk",), ("  ",)], "line string")
+    assert sorted(r.line for r in rejected_lines(lines).collect()) == ["[1]", "junk"]
+
+
 def test_embedded_json(spark):
     good = '<script> var react_data = {"product_id": 123, "name": "Gold Ring", "price": 99.99}; </script>'
     assert '"Gold Ring"' in one(spark, p.embedded_json, good)

@@ -6,15 +6,17 @@ from decimal import Decimal
 
 import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from orderloom.functions.cleaning import blank_to_null
+from orderloom.functions.cleaning import blank_to_null, safe_double
 from orderloom.operators import checks, crawl, discovery, history as scd, lookups
 from orderloom.operators.dedup import latest_per_key, top_value_per_key
 from orderloom.operators.keys import add_surrogate_key
 from orderloom.operators.profiling import cardinality, joined_values
 from orderloom.operators.quantiles import exact_quantiles
 from orderloom.plans import core, incremental, intermediate, quality, staging
+from orderloom.plans.incremental import existing_table, run_incremental
 
 
 def test_latest_per_key_is_stable(spark):
@@ -214,6 +216,64 @@ def test_discovery(spark):
     }
 
 
+def test_discovery_looks_at_everything(spark):
+    deep = '{"a":{"b":{"c":{"d":{"e":{"f":1}}}}},"mix":[1,2,3,"x",{"late":true}],"s":"{[\\"{{{"}'
+    docs = spark.createDataFrame([(deep,), ('{"a":1,"a":"last"}',), (None,), ("",)], "line string")
+    found = {r.path: r.kinds for r in discovery.recommended_types(discovery.field_kinds(discovery.document_fields(docs))).collect()}
+    assert found["a.b.c.d.e.f"] == "int" and found["mix[]"] == "int,string" and found["mix[].late"] == "bool"
+    assert found["a"] == "object,string" and found["s"] == "string"
+    assert discovery.document_fields(docs.limit(0)).count() == 0
+
+
+def test_fx_pick_keeps_lines_without_symbol_and_matches_patterns(spark):
+    rates = spark.createDataFrame(
+        [("$", "%.ca/%", 1, "CAD", 0.7), ("$", None, 5, "USD", 1.0), ("$", "", None, "XXX", 9.0), ("kr", "%.se/%", 1, "SEK", 0.1), (None, None, 1, "NUL", 5.0)],
+        "currency_symbol string, url_pattern string, priority int, currency_code string, rate_to_usd double",
+    )
+    items = spark.createDataFrame(
+        [(1, "$", "http://a.ca/x"), (2, "$", "http://a.us/x"), (3, "kr", "http://a.no/x"), (4, None, "u"), (5, "$", None)],
+        "k int, transaction_currency_symbol string, current_url string",
+    )
+    got = {r.k: (r.transaction_currency_code, r.transaction_rate_to_usd) for r in lookups.fx_pick(items, rates, ["k"]).collect()}
+    assert got == {1: ("CAD", 0.7), 2: ("USD", 1.0), 3: ("UNKNOWN", 1.0), 4: ("UNKNOWN", 1.0), 5: ("USD", 1.0)}
+    plan = lookups.fx_pick(items, rates, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan
+
+
+def test_nan_and_words_are_no_numbers(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),), (float("nan"),), (float("inf"),), (float("-inf"),)], "x double")
+    got = {r.probability: r.value for r in exact_quantiles(df, "x", ["0.1", "0.5", "0.7", "1"]).collect()}
+    assert got[0.1] == float("-inf") and got[0.5] == 3.0 and got[0.7] == float("inf") and got[1.0] != got[1.0]
+    texts = [("1.5",), (" -2e3 ",), (".5",), ("NaN",), ("Infinity",), ("1.5d",), ("0x1",), ("",), (None,)]
+    got = [r.v for r in spark.createDataFrame(texts, "t string").select(safe_double("t").alias("v")).collect()]
+    assert got == [1.5, -2000.0, 0.5, None, None, None, None, None, None]
+
+
+def test_joined_values_with_several_keys(spark):
+    many = spark.createDataFrame([("k", n % 2, f"v{n:03d}") for n in range(18)] * 2, "k string, p int, v string")
+    got = {r.p: r.vs for r in joined_values(many, ["k", "p"], "v", "vs", 3).collect()}
+    assert got == {0: "v000, v002, v004", 1: "v001, v003, v005"}
+
+
+def test_full_refresh_drops_old_days_in_a_dynamic_session(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = lambda *d: spark.createDataFrame([(x, 1) for x in d], "order_date string, n int").withColumn("order_date", F.to_date("order_date"))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        run_incremental(spark, path, lambda mark: days("2024-01-01", "2024-01-02", "2024-01-03"))
+        run_incremental(spark, path, lambda mark: days("2024-01-02"), full_refresh=True)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [str(r.order_date) for r in spark.read.parquet(path).collect()] == ["2024-01-02"]
+
+
+def test_a_broken_table_is_not_taken_for_a_missing_one(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    with pytest.raises(AnalysisException):
+        existing_table(spark, str(tmp_path / "t"))
+    assert existing_table(spark, str(tmp_path / "none")) is None
+
+
 def test_cardinality_and_joined_values(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 2), ("b", None)], "x string, y int")
     assert tuple(cardinality(df, ["x", "y"]).first()) == (2, 2)

@@ -23,7 +23,7 @@ def test_layouts():
 
 def test_globs():
     assert routing.raw_glob("b", "events", "20260404") == "b/raw/events/events_20260404_part*.jsonl.gz"
-    assert routing.raw_glob("b", "events") == "b/raw/events/events_*.jsonl.gz"
+    assert routing.raw_glob("b", "events") == "b/raw/events/*.json*.gz"
     assert routing.raw_glob("b", "products", "20260404") == "b/raw/products/products_20260404.jsonl.gz"
     with pytest.raises(ValueError):
         routing.raw_glob("b", "orders")
@@ -101,3 +101,17 @@ def test_autoload_loads_every_file_once(spark, tmp_path):
     batch = jsonl.load_events(jsonl.read_lines(spark, f"{root}/raw/events/*.gz"), loaded_at=F.lit(None).cast("timestamp"))
     streamed = a.loaded_table(spark, target, "events").drop("ingested_at")
     assert sorted(map(str, streamed.collect())) == sorted(map(str, batch.drop("ingested_at").collect()))
+
+
+def test_exported_parts_are_loaded_and_a_new_checkpoint_loses_nothing(spark, tmp_path):
+    root, target = str(tmp_path / "bucket"), str(tmp_path / "raw")
+    ips = spark.createDataFrame([(f"1.1.1.{i}", "c") for i in range(25)], "ip string, country_short string")
+    exports.export_parts(ips, f"{root}/raw/ip_locations", rows_per_part=10)
+    for marks, start in (("one", 25), ("two", 50)):
+        for q in a.autoload(spark, root, target, str(tmp_path / marks)):
+            q.awaitTermination()
+            assert q.exception() is None
+        assert a.loaded_table(spark, target, "ip_locations").count() == start
+    for q in a.autoload(spark, root, target, str(tmp_path / "two")):
+        q.awaitTermination()
+    assert a.loaded_table(spark, target, "ip_locations").count() == 50
