@@ -10,7 +10,7 @@ from orderloom.catalog.standins import duck, table, view
 from orderloom.functions import documents
 from orderloom.operators import sampling
 from orderloom.session import stored
-from orderloom.sources import exports, jsonl, routing
+from orderloom.sources import exports, jsonl, routing, schemas
 
 TYPES = ("checkout", "checkout_success", "add_to_cart_action")
 def _load_time():
@@ -169,13 +169,69 @@ def validate_load(spark, sf):
     return routing.validate_load(raw_events(spark, sf, "ev_dup"))
 
 
-@query("export_events_parts")
+@query(
+    "export_events_parts",
+    duck("SELECT CAST(count(*) AS BIGINT) AS records, CAST(0 AS BIGINT) AS parts_above_limit FROM ev", "ev"),
+)
 def export_events_parts(spark, sf):
-    """Gzipped JSON parts of limited size: rows and files written, largest part."""
+    """Gzipped JSON parts of limited size: rows written, and parts above the limit."""
     path = scratch(spark) + "/export"
     exports.export_parts(view(spark, sf, "ev"), path, rows_per_part=2000)
     rows = spark.read.text(path).groupBy("_metadata.file_name").agg(F.count("*").alias("n"))
-    return rows.agg(F.sum("n").alias("records"), F.count("*").alias("parts"), F.max("n").alias("largest_part"))
+    return rows.agg(F.sum("n").alias("records"), F.count_if(F.col("n") > 2000).alias("parts_above_limit"))
+
+
+@query(
+    "append_raw_table",
+    duck("SELECT collection, CAST(2 * count(*) AS BIGINT) AS records FROM ev GROUP BY 1", "ev"),
+)
+def append_raw_table(spark, sf):
+    """Two deliveries of the same file appended to one raw table: duplicates stay until staging drops them."""
+    path = scratch(spark) + "/raw_events"
+    lines = stored(view(spark, sf, "jsonl").select("line"))
+    for _ in range(2):
+        jsonl.append_rows(jsonl.load_events(lines, loaded_at=_load_time()), path)
+    return spark.read.parquet(path).groupBy("collection").agg(F.count("*").alias("records"))
+
+
+@query(
+    "check_sources",
+    duck(
+        """SELECT 'events' AS table_name, c AS column_name, CAST(0 AS BIGINT) AS missing FROM (VALUES ('_id'), ('collection'), ('ingested_at')) t(c)
+        UNION ALL SELECT 'ip_locations', c, CAST(0 AS BIGINT) FROM (VALUES ('ip'), ('ingested_at')) t(c)
+        UNION ALL SELECT 'products', 'product_id', CAST(count(*) FILTER (product_id IS NULL) AS BIGINT) FROM prod
+        UNION ALL SELECT 'products', 'ingested_at', CAST(0 AS BIGINT)""",
+        "prod",
+    ),
+)
+def check_sources(spark, sf):
+    """Missing values in the columns that the raw tables must have."""
+    raw = {"events": raw_events(spark, sf), "ip_locations": raw_ip_locations(spark, sf), "products": raw_products(spark, sf)}
+    out = None
+    for name, df in raw.items():
+        one = schemas.missing_required(df, name)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(
+    "quarantine_lines",
+    duck(
+        """SELECT 'kept' AS outcome, CAST(count(*) AS BIGINT) AS records FROM jsonl WHERE trim(line) <> '' AND event_id % 9 <> 4
+        UNION ALL SELECT 'rejected', CAST(count(*) AS BIGINT) FROM jsonl WHERE trim(line) <> '' AND event_id % 9 = 4""",
+        "jsonl",
+    ),
+)
+def quarantine_lines(spark, sf):
+    """Cut-off and non-object lines are set aside, the others load strictly."""
+    lines = view(spark, sf, "jsonl")
+    broken = F.when(F.col("event_id") % 2 == 0, F.expr("left(line, length(line) - 3)")).otherwise(F.concat(F.lit("["), "line", F.lit("]")))
+    spoiled = (F.trim("line") != "") & (F.col("event_id") % 9 == 4)
+    lines = stored(lines.select(F.when(spoiled, broken).otherwise(F.col("line")).alias("line")))
+    good, bad = jsonl.split_rejected(lines)
+    loaded = jsonl.load_events(good, loaded_at=_load_time())
+    kept = loaded.agg(F.count("_id").alias("records")).select(F.lit("kept").alias("outcome"), "records")
+    return kept.unionByName(bad.agg(F.count("*").alias("records")).select(F.lit("rejected").alias("outcome"), "records"))
 
 
 @query(

@@ -155,10 +155,19 @@ def profile_nulls_product(spark, sf):
     return p.nulls(raw_products(spark, sf), PRODUCT_COLUMNS, True, extra=extra)
 
 
-@query("profile_nulls_sample")
+SAMPLED = ("product_id", "currency", "price", "order_id")
+
+
+@query(
+    "profile_nulls_sample",
+    duck(
+        f"SELECT {ROWS}, {', '.join(_nulls(c, True) for c in SAMPLED)} FROM ev WHERE CAST('0x' || md5(_id)[1:8] AS BIGINT) / 4294967296.0 < 0.5",
+        "ev",
+    ),
+)
 def profile_nulls_sample(spark, sf):
-    """Null rates on a random half of the events (seeded; rows-only check)."""
-    return p.nulls_on_sample(view(spark, sf, "ev"), ["product_id", "currency", "price", "order_id"], 0.5)
+    """Null rates on the half of the events that a hash of the key picks."""
+    return p.nulls_on_sample(view(spark, sf, "ev"), SAMPLED, 0.5, "_id")
 
 
 PRICE = NUMBER.format("price")
@@ -664,18 +673,23 @@ def column_metadata(spark, sf):
     return p.column_metadata(table(spark, sf, "orders"), "orders")
 
 
-@query("table_metadata")
+@query(
+    "table_metadata",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, true AS has_bytes FROM {t}" for t in ("events", "orders", "lineitem")
+    ),
+)
 def table_metadata(spark, sf):
-    """Rows and bytes of the files behind three tables (rows-only check)."""
+    """Rows of three tables, and whether their files tell a size (sizes themselves are no SQL matter)."""
     out = None
     for name in ("events", "orders", "lineitem"):
         one = p.file_metadata(table(spark, sf, name), name)
         out = one if out is None else out.unionByName(one)
-    return out
+    return out.select("table_name", "row_count", (F.col("size_bytes") > 0).alias("has_bytes"))
 
 
 # All nodes of all documents. Objects inside arrays are not fields of their own, their members are.
-TREE = r"""SELECT l.event_id, l.line, regexp_replace(regexp_replace(t.fullkey, '^\$\.', ''), '\[\d+\]', '[]', 'g') AS path,
+TREE = r"""SELECT l.event_id, l.line, regexp_replace(regexp_replace(replace(t.fullkey, '"', ''), '^\$\.', ''), '\[\d+\]', '[]', 'g') AS path,
   CASE t.type WHEN 'NULL' THEN NULL WHEN 'BOOLEAN' THEN 'bool' WHEN 'VARCHAR' THEN 'string' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object'
     WHEN 'DOUBLE' THEN 'float' ELSE 'int' END AS kind
 FROM (SELECT event_id, line FROM jsonl WHERE trim(line) <> '') l, json_tree(l.line) t

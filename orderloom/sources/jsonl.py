@@ -105,8 +105,19 @@ def load_ip_locations(lines: DataFrame, **options) -> DataFrame:
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """Lines that are not JSON objects."""
+    return split_rejected(lines)[1]
+
+
+def split_rejected(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lines that are JSON objects, the others); blank lines are in neither. Strict loading is safe on the first."""
     kind = F.schema_of_variant(parsed_json("line"))
-    return not_blank(lines).where(F.coalesce(~kind.startswith("OBJECT"), F.lit(True)))
+    fine = F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+    return not_blank(lines).where(fine), not_blank(lines).where(~fine)
+
+
+def append_rows(rows: DataFrame, path: str) -> None:
+    """Append a load to a raw table. What is delivered twice is stored twice; staging keeps the latest."""
+    rows.write.mode("append").parquet(path)
 
 
 def json_array_to_lines(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 # Column order and types of the three raw tables.
 EVENT_OPTION = (
     "array<struct<option_id:string,option_label:string,value_id:string,value_label:string,"
@@ -51,5 +54,8 @@ REQUIRED = {
 }
 
 
-def ddl(table: str) -> str:
-    return ", ".join(f"`{name}` {kind}" for name, kind in TABLES[table].items())
+def missing_required(df: DataFrame, table: str) -> DataFrame:
+    """Rows without a value, for each column that the raw table must have: one scan."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in REQUIRED[table]])
+    each = F.array(*[F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.col(c).alias("missing")) for c in REQUIRED[table]])
+    return counts.select(F.explode(each).alias("r")).select("r.*")

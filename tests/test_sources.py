@@ -115,3 +115,18 @@ def test_exported_parts_are_loaded_and_a_new_checkpoint_loses_nothing(spark, tmp
     for q in a.autoload(spark, root, target, str(tmp_path / "two")):
         q.awaitTermination()
     assert a.loaded_table(spark, target, "ip_locations").count() == 50
+
+
+def test_bad_lines_are_set_aside_by_the_stream(spark, tmp_path):
+    root, target = str(tmp_path / "bucket"), str(tmp_path / "raw")
+    _gz(f"{root}/raw/ip_locations/ip_locations_20260101.jsonl.gz", [{"ip": "1.1.1.1"}, "{broken", "[1]", "", {"ip": "1.1.1.2"}])
+    for q in a.autoload(spark, root, target, str(tmp_path / "marks"), quarantine=True):
+        q.awaitTermination()
+        assert q.exception() is None
+    assert a.loaded_table(spark, target, "ip_locations").count() == 2
+    assert sorted(r.line for r in a.rejected_table(spark, target, "ip_locations").collect()) == ["[1]", "{broken"]
+
+
+def test_required_columns(spark):
+    df = spark.createDataFrame([("1.1.1.1", None), (None, None)], "ip string, ingested_at timestamp")
+    assert {r.column_name: r.missing for r in schemas.missing_required(df, "ip_locations").collect()} == {"ip": 1, "ingested_at": 2}
