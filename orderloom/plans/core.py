@@ -126,13 +126,12 @@ def fact_sales_order_line(
 ) -> DataFrame:
     """Order lines with dimension keys and measures. Unmatched keys are -1, an unmatched day 19000101.
 
-    Only the calendar and the device classes have a fixed bound and are broadcast by hint; Spark decides
-    for the other dimensions by their measured size. All joins are left equi joins.
+    All joins are left equi joins; Spark broadcasts a dimension when its measured size allows.
     """
-    day = F.broadcast(dim_date.select(F.col("full_date").alias("event_date"), "date_key"))
+    day = dim_date.select(F.col("full_date").alias("event_date"), "date_key")
     product = dim_product.select("product_id", "product_key")
     customer = dim_customer.where(F.col("is_current")).select("customer_natural_key", "customer_key")
-    device = F.broadcast(dim_device.select("device_category", "browser_name", "operating_system", "device_key"))
+    device = dim_device.select("device_category", "browser_name", "operating_system", "device_key")
     rate = dim_exchange_rate.select(F.col("currency_code").alias("transaction_currency_code"), "exchange_rate_key")
     place = dim_location.select(
         F.col("country_name").alias("_country"), F.col("region_name").alias("_region"),

@@ -94,7 +94,7 @@ def sales_with_customer(
         "customer_key", "customer_natural_key", "email_address", F.col("email_address").isNull().alias("is_guest")
     )
     return (
-        lines.join(F.broadcast(days), "date_key", "left")  # a calendar has a few thousand days
+        lines.join(days, "date_key", "left")
         .join(people, "customer_key", "left")
         .join(outliers.select("order_id", *flags), "order_id", "left")
         .select(

@@ -1,8 +1,9 @@
 """Dashboard marts over enriched sales lines.
 
-All marts drop outlier orders. Each daily mart is one aggregation with two distinct counts: Spark combines
-every distinct (group, order) and (group, customer) pair on the map side and spreads them by the pair, so a
-hot store, product or place never meets in one task. Calendar columns are joined to the finished groups.
+All marts drop outlier orders. Each daily mart first totals the lines of an order, then counts two things at once:
+Spark expands the order totals, not the lines, combines every distinct (group, order) and (group, customer) pair on
+the map side and spreads them by the pair, so a hot store, product or place never meets in one task. Calendar columns
+are joined to the finished groups; Spark broadcasts the calendar and the device classes when their measured size allows.
 """
 
 from __future__ import annotations
@@ -27,15 +28,28 @@ def clean_sales(sales: DataFrame, newer_than: Column | None = None) -> DataFrame
 
 
 def _calendar(dim_date: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return F.broadcast(dim_date.select(F.col("full_date").alias("order_date"), *columns))
+    return dim_date.select(F.col("full_date").alias("order_date"), *columns)
+
+
+def _order_totals(lines: DataFrame, keys: Sequence[str], counted: Column | str, *more: Column) -> DataFrame:
+    """Totals of every order inside a group, apart for each `counted` value."""
+    named = (F.col(counted) if isinstance(counted, str) else counted).alias("_counted")
+    return lines.groupBy(*keys, "order_id", named).agg(
+        F.count("*").alias("_lines"),
+        F.sum("quantity").alias("_units"),
+        F.sum("line_total_usd").alias("_revenue"),
+        F.count_if(F.col("is_guest")).alias("_guest"),
+        F.count_if(~F.col("is_guest")).alias("_registered"),
+        *more,
+    )
 
 
 def _order_measures() -> list[Column]:
     return [
         F.count_distinct("order_id").alias("order_count"),
-        F.count("*").alias("line_item_count"),
-        F.sum("quantity").alias("units_sold"),
-        F.sum("line_total_usd").alias("revenue_usd"),
+        F.sum("_lines").alias("line_item_count"),
+        F.sum("_units").alias("units_sold"),
+        F.sum("_revenue").alias("revenue_usd"),
     ]
 
 
@@ -43,13 +57,13 @@ def mart_sales_daily(
     sales: DataFrame, dim_device: DataFrame, dim_date: DataFrame, newer_than: Column | None = None
 ) -> DataFrame:
     """Store × day × device class. The guest and registered columns count lines."""
-    devices = F.broadcast(dim_device.select("device_key", "device_category", "is_mobile"))
+    devices = dim_device.select("device_key", "device_category", "is_mobile")
     lines = clean_sales(sales, newer_than).join(devices, "device_key", "left")
-    days = lines.groupBy(*DAILY_KEYS).agg(
+    days = _order_totals(lines, DAILY_KEYS, "customer_key").groupBy(*DAILY_KEYS).agg(
         *_order_measures(),
-        F.count_distinct("customer_key").alias("unique_customers"),
-        F.count_if(F.col("is_guest")).alias("guest_orders"),
-        F.count_if(~F.col("is_guest")).alias("registered_orders"),
+        F.count_distinct("_counted").alias("unique_customers"),
+        F.sum("_guest").alias("guest_orders"),
+        F.sum("_registered").alias("registered_orders"),
     )
     attributes = ["year", "quarter", "month", F.col("week").alias("week_of_year"), "day_of_week", "day_name", "is_weekend"]
     return days.join(_calendar(dim_date, attributes), "order_date", "left").select(
@@ -66,8 +80,8 @@ def mart_sales_by_geography(
     """Country × region × city × day, for lines whose city is known."""
     places = dim_location.where(F.col("city_name").isNotNull()).select("location_key", *PLACE_KEYS[1:])
     lines = clean_sales(sales, newer_than).join(places, "location_key")
-    days = lines.groupBy(*PLACE_KEYS).agg(
-        *_order_measures(), F.count_distinct("customer_key").alias("unique_customers")
+    days = _order_totals(lines, PLACE_KEYS, "customer_key").groupBy(*PLACE_KEYS).agg(
+        *_order_measures(), F.count_distinct("_counted").alias("unique_customers")
     )
     return days.join(_calendar(dim_date, ["year", "month"]), "order_date", "left").select(
         *PLACE_KEYS, "year", "month",
@@ -84,14 +98,16 @@ def mart_sales_by_product(
         "collection_name", "gender",
     ]
     keys = ["order_date", "product_key"]
-    days = clean_sales(sales, newer_than).groupBy(*keys).agg(
+    prices = [F.sum("unit_price").alias("_prices"), F.count("unit_price").alias("_priced"), F.min("unit_price").alias("_low"), F.max("unit_price").alias("_high")]
+    orders = _order_totals(clean_sales(sales, newer_than), keys, email_domain("email_address"), *prices)
+    days = orders.groupBy(*keys).agg(
         *_order_measures(),
-        F.avg("unit_price").alias("avg_unit_price"),
-        F.min("unit_price").alias("min_unit_price"),
-        F.max("unit_price").alias("max_unit_price"),
-        F.count_if(~F.col("is_guest")).alias("registered_customer_orders"),
-        F.count_if(F.col("is_guest")).alias("guest_orders"),
-        F.count_distinct(email_domain("email_address")).alias("unique_email_domains"),
+        F.try_divide(F.sum("_prices"), F.sum("_priced")).alias("avg_unit_price"),
+        F.min("_low").alias("min_unit_price"),
+        F.max("_high").alias("max_unit_price"),
+        F.sum("_registered").alias("registered_customer_orders"),
+        F.sum("_guest").alias("guest_orders"),
+        F.count_distinct("_counted").alias("unique_email_domains"),
     )
     money = "decimal(38,9)"
     products = dim_product.select(
@@ -119,7 +135,7 @@ def mart_customer_summary(
 ) -> DataFrame:
     """Lifetime totals, preferences and segment per customer."""
     today = F.current_date() if as_of is None else as_of
-    devices = F.broadcast(dim_device.select("device_key", "device_category"))
+    devices = dim_device.select("device_key", "device_category")
     places = dim_location.select("location_key", "country_name")
     lines = clean_sales(sales).join(devices, "device_key", "left").join(places, "location_key", "left")
     person = ["customer_key", "customer_natural_key", "email_address", "is_guest"]
