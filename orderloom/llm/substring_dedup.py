@@ -36,7 +36,7 @@ from orderloom.llm.texthash import (
 )
 
 SIZE, BLOCK = 35, 18
-FLUSH = 3_000_000
+FLUSH = 2_000_000
 _LOW = np.uint64(2**SET_BITS - 1)
 
 

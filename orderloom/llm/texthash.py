@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 _U = np.uint64
 _BYTE_BASE, _WORD_BASES = 0x9E3779B97F4A7C15, (0xD1342543DE82EF95, 0xA0761D6478BD642F)
 _BYTE_VALUE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)

@@ -111,9 +111,9 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("region_sets", [4, 4000])
-def test_large_regions_lose_no_link(spark, near_rows, region_sets):
-    got = jaccard_join.link_components(docs_frame(spark, near_rows), region_sets=region_sets, split_pivots=3)
+@pytest.mark.parametrize("region_elements", [60, 400, 4_000_000])
+def test_large_regions_lose_no_link(spark, near_rows, region_elements):
+    got = jaccard_join.link_components(docs_frame(spark, near_rows), region_elements=region_elements, split_pivots=3)
     got = [tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()]
     assert sorted(got) == sorted(brute_components(near_rows))
 
