@@ -382,7 +382,8 @@ def link_components(
     members = stored(members.join(shared, "region").select(KEY, "region", "weight"))
 
     def sets_of(some: DataFrame) -> DataFrame:
-        joined = rows.select(KEY, "text").join(some.select(KEY, "region"), KEY).select(KEY, "region", "text")
+        # a shuffle at every size: members grow with the corpus, and are no side to broadcast
+        joined = rows.select(KEY, "text").join(some.select(KEY, "region").hint("merge"), KEY).select(KEY, "region", "text")
         return joined.mapInArrow(_sets(shingle), f"{KEY} long, region long, elements binary")
 
     links = stored(_region_links(sets_of(members.where(F.col("weight") <= region_elements)), percent))
