@@ -80,6 +80,20 @@ def test_accepted_keeps_columns(spark, documents):
     assert out.count() > 0.97 * documents.count()
 
 
+def test_foreign_and_noise_are_not_accepted(spark, documents):
+    rng = random.Random(6)
+    noise = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(n)) for n in (12, 40, 300)]
+    foreign = ["这是一个关于学习语言的文章，我们在这里写很多的字为了测试。", "Это русский текст о погоде и о том, как люди живут в большом городе.", "日本語", *noise]
+    clean = ["The and of.", "Le la de et.", "Der die und.", "El de la que."]
+    docs = documents.union(docs_frame(spark, [(-1 - i, t, None) for i, t in enumerate(foreign)] + [(-100 - i, t, None) for i, t in enumerate(clean)]).select(*documents.columns))
+    for some in (docs, docs.where("lang is null or lang in ('en', 'fr')"), docs.where("lang is null or lang = 'en'")):
+        out = language_id.accepted(some)
+        left = {r.doc_id for r in out.where("doc_id < 0").select("doc_id").collect()}
+        assert not left & {-1 - i for i in range(len(foreign))} and -100 in left
+        assert out.where("doc_id >= 0").count() == some.where("doc_id >= 0").count()
+    assert {r.doc_id for r in language_id.accepted(docs).where("doc_id < -99").collect()} == {-100 - i for i in range(len(clean))}
+
+
 # --- secrets --------------------------------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
