@@ -193,13 +193,12 @@ def fit(
     """
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    order = rows.select("lang", F.xxhash64("text").alias("h"))
-    first = order.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "lang"))).where(F.col("n") <= 2 * per_language)
-    picked = {(r.lang, r.h) for r in first.select("lang", "h").distinct().collect()}
-    by_lang: dict[str, list[int]] = {}
-    for lang, h in picked:
-        by_lang.setdefault(lang, []).append(h)
-    wanted = sorted({h for hs in by_lang.values() for h in sorted(hs)[:per_language]})
+    order = rows.select("lang", F.xxhash64("text").alias("h")).distinct()  # before the ranks, so copies take no places
+    first = order.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= per_language)
+    mine: dict[str, set[int]] = {}
+    for r in first.collect():
+        mine.setdefault(r.lang, set()).add(r.h)
+    wanted = sorted(set().union(*mine.values()))
     if not wanted:
         return fit_rows(np.zeros((0, 1 << bits), np.float32), [], max_n, bits, landmarks_per_language, ridge)
 
@@ -211,7 +210,6 @@ def fit(
     known = rows.select("lang", F.xxhash64("text").alias("h"), "text").where(F.col("h").isin(wanted))
     known = stored(known.groupBy("lang", "h").agg(F.min("text").alias("text")))
     got = known.mapInArrow(vectors, "lang string, h long, bits binary").collect()
-    mine = {x: set(sorted(hs)[:per_language]) for x, hs in by_lang.items()}
     kept = sorted((r for r in got if r.h in mine[r.lang]), key=lambda r: (r.h, r.lang))
     dense = np.array([np.unpackbits(np.frombuffer(r.bits, np.uint8)) for r in kept], np.float32)
     model = fit_rows(dense, [r.lang for r in kept], max_n, bits, landmarks_per_language, ridge)

@@ -94,6 +94,16 @@ def test_foreign_and_noise_are_not_accepted(spark, documents):
     assert {r.doc_id for r in language_id.accepted(docs).where("doc_id < -99").collect()} == {-100 - i for i in range(len(clean))}
 
 
+def test_copies_take_no_places(spark):
+    rng = random.Random(7)
+    texts = [sentence(rng, 12) for _ in range(60)]
+    docs = docs_frame(spark, [(i, t, "en") for i, t in enumerate(texts)])
+    low = docs.orderBy(F.xxhash64("text")).first().text
+    copied = docs.union(docs_frame(spark, [(1000 + i, low, "en") for i in range(3000)]))
+    a, b = language_id.fit(docs, per_language=40), language_id.fit(copied, per_language=40)
+    assert a.fitted[0] == b.fitted[0] == 40 and (a.having == b.having).all() and (a.limits == b.limits).all()
+
+
 # --- secrets --------------------------------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
