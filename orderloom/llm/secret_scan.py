@@ -6,7 +6,8 @@ Four kinds of spans, as code points with an exclusive end:
 * `flow`: literals that the lexer ties to a sensitive name. Text is read as source or configuration lines into
   (name, expression) pairs: `name = expr`, `name: expr`, `name := expr`, `"name": expr`, `name => expr`, after
   `export`, `set`, `let`, `const`, `var`, `final`, `def` and the like. An expression is a sequence of literals and
-  names joined by `+`, `.` or nothing. Constants are propagated: a name stands for the literals it was last given, so
+  names joined by `+`, `.` or nothing (then what follows is a quoted literal, or a `$name` without a blank before it,
+  and no name of the next pair). Constants are propagated: a name stands for the literals it was last given, so
   in `a = "Zx81..."` / `password = a` the literal of the first line belongs to `password`. Every literal is scored by
   the most sensitive name that it reaches and by its own form; words such as `example`, `changeme` and `${...}` are
   no secrets.
@@ -49,6 +50,9 @@ _NAME = r"[A-Za-z_$@][A-Za-z0-9_$]*(?:[.\-][A-Za-z_][A-Za-z0-9_]*)*"
 _PAIR = re.compile(rf"""(?:^|(?<=[\s;,{{(\[&?]))(?i:{_LEAD})(?:"(?P<q>[^"\n]{{1,80}})"|'(?P<s>[^'\n]{{1,80}})'|(?P<n>{_NAME}))(?:\[["'](?P<k>[^"'\]\n]{{1,80}})["']\]|\[[^\]\n]{{0,40}}\])?[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*""", re.M)
 _TERM = re.compile(rf"""(?:[bru]{{0,2}})"(?P<d>(?:[^"\\\n]|\\.)*)"|(?:[bru]{{0,2}})'(?P<s>(?:[^'\\\n]|\\.)*)'|`(?P<b>[^`\n]*)`|(?P<n>{_NAME})(?![\w(])|(?P<v>[^\s;,"'`)\]}}]+)""")
 _JOIN = re.compile(r"[ \t]*(?:\+|\.(?=[\s\"'A-Za-z_$])|&|\|\|)?[ \t]*")
+#: What may follow with nothing between.
+_ADJACENT = re.compile(r"""[ \t]*+(?=[bru]{0,2}["']|`)|(?=\$[A-Za-z_])""")
+_NAMES_A_PAIR = re.compile(r"[ \t]*(?::=|=>|=(?!=)|:(?![:/]))")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 LEAST_LITERAL = 6
 
@@ -95,7 +99,10 @@ def _terms(text: str, at: int) -> tuple[list[tuple[str, int, int, str]], int]:
         at = m.end()
         join = _JOIN.match(text, at)
         if not join[0].strip():
-            break
+            join = _ADJACENT.match(text, at)
+            term = join and _TERM.match(text, join.end())
+            if not term or term.lastgroup == "v" or _NAMES_A_PAIR.match(text, term.end()):
+                break
         at = join.end()
     return out, at
 
@@ -111,12 +118,10 @@ def pairs(text: str) -> list[tuple[str, list[tuple[str, int, int, str]]]]:
     return out
 
 
-_SENSITIVE_STEMS = tuple(k for k in NAME_WEIGHTS if k not in ("client", "access", "api", "session", "private"))
-
-
 def flow_spans(text: str, least: float = MIN_SCORE) -> list[tuple[int, int, str]]:
     """Literals that reach a sensitive name, directly or through other names."""
-    if not any(c in text for c in "=:") or not any(x in text.lower() for x in _SENSITIVE_STEMS):
+    low = text.lower()
+    if not any(c in text for c in "=:") or not any(x in low for x in NAME_WEIGHTS):  # no pair, or no name that counts
         return []
     # one node per assignment: its own literals, and the nodes of the names it uses, as they stood then
     own: list[list[tuple[int, int, str]]] = []

@@ -149,6 +149,23 @@ def test_flow(text, found):
     assert [text[s:e] for s, e, _ in secret_scan.flow_spans(text)] == found
 
 
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ('session = "Zx81kQ93mmPw"', ["Zx81kQ93mmPw"]),
+        ('api_access = "Zx81kQ93mmPw"', ["Zx81kQ93mmPw"]),
+        ('private_access: "Zx81kQ93mmPw"', ["Zx81kQ93mmPw"]),
+        ('password = "abc" "Zx81kQ93mmPw"', ["Zx81kQ93mmPw"]),
+        ("$tail='Zx81kQ93mmPw'\npassword=\"abc\"$tail", ["Zx81kQ93mmPw"]),
+        ('{"password": "abc" "title": "Zx81kQ93mmPw"}', []),
+        ('PASSWORD="abc" TITLE="Zx81kQ93mmPw"', []),
+    ],
+)
+def test_flow_reads_every_name_and_join(text, found):
+    for rest in ("", "\nkeys pass by"):  # words elsewhere change nothing
+        assert [text[s:e] for s, e, _ in secret_scan.flow_spans(text + rest)] == found
+
+
 def test_long_chains_are_linear():
     text = "\n".join(f'v{i} = v{i - 1} + "k{i}Zq81x"' for i in range(1, 4000)) + "\nv0 = v3999\npassword = v3999"
     assert len(secret_scan.flow_spans(text)) == 3999
