@@ -62,13 +62,65 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]] =
     return out
 
 
+def _attribute(name: str, value: str) -> str:
+    """Pattern of an attribute in a tag."""
+    return rf"""(?is)(?<![\w-]){name}\s*+=\s*+["']?{value}"""
+
+
 def named_targets(html: Column) -> Column:
-    """URLs that a page names as its own place: canonical links and refresh targets with a full URL."""
-    link = F.regexp_extract_all(html, F.lit(r"""(?is)<link\b(?=[^>]{0,2000}\brel\s*=\s*["']?canonical\b)[^>]{0,2000}?\bhref\s*=\s*["']?([^"'\s>]+)"""), F.lit(1))
-    fresh = F.regexp_extract_all(
-        html, F.lit(r"""(?is)<meta\b(?=[^>]{0,2000}\bhttp-equiv\s*=\s*["']?refresh\b)[^>]{0,2000}?\bcontent\s*=\s*["']?\s*[0-9.]*\s*;\s*url\s*=\s*['"]?([^"'\s>]+)"""), F.lit(1)
-    )
-    return F.filter(F.array_union(link, fresh), lambda u: u.contains("://"))
+    """What a page names as its own place, as written: canonical links and refresh targets.
+
+    Tags are cut out whole and their attributes read in any order; an unclosed tag goes to the end of the page.
+    """
+    links = F.filter(F.regexp_extract_all(html, F.lit(r"(?i)<link\b[^>]*+"), F.lit(0)), lambda t: t.rlike(_attribute("rel", r"canonical\b")))
+    metas = F.filter(F.regexp_extract_all(html, F.lit(r"(?i)<meta\b[^>]*+"), F.lit(0)), lambda t: t.rlike(_attribute("http-equiv", r"refresh\b")))
+    link = F.transform(links, lambda t: F.regexp_extract(t, _attribute("href", r"""([^"'\s>]+)"""), 1))
+    fresh = F.transform(metas, lambda t: F.regexp_extract(t, _attribute("content", r"""\s*+[0-9.]*+\s*+;\s*+url\s*+=\s*+['"]?([^"'\s>]+)"""), 1))
+    return F.filter(F.array_union(link, fresh), lambda u: u != "")
+
+
+def _base_targets(html: Column) -> Column:
+    """What the first <base href> of a page names, as an array of at most one."""
+    tags = F.regexp_extract_all(html, F.lit(r"(?i)<base\b[^>]*+"), F.lit(0))
+    hrefs = F.transform(tags, lambda t: F.regexp_extract(t, _attribute("href", r"""([^"'\s>]+)"""), 1))
+    return F.slice(F.filter(hrefs, lambda u: u != ""), 1, 1)
+
+
+def resolved(targets: Column, base: Column) -> Column:
+    """Targets as full URLs, those without a scheme relative to `base` (RFC 3986); other schemes are left out.
+
+    Without a full base, only full targets are given. `base` should be a column, as it is read many times.
+    """
+
+    def join(target):  # noqa: ANN001, ANN202
+        origin, path = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*", 0), path_of(base)
+        return (
+            F.when(F.startswith(target, F.lit("//")), F.concat(F.regexp_extract(base, r"(?s)^(.*?:)//", 1), target))
+            .when(F.startswith(target, F.lit("/")), F.concat(origin, target))
+            .when(F.startswith(target, F.lit("?")), F.concat(origin, path, target))
+            .when(F.startswith(target, F.lit("#")), F.concat(F.regexp_extract(base, r"(?s)^[^#]*", 0), target))
+            .otherwise(F.concat(origin, F.when(path == "", "/").otherwise(F.regexp_extract(path, r"(?s)^.*/", 0)), target))
+        )
+
+    full = F.filter(targets, lambda u: u.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*+://"))
+    relative = F.filter(targets, lambda u: ~u.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*+:") & F.coalesce(base.contains("://"), F.lit(False)))
+    return F.concat(full, F.transform(F.transform(relative, join), _without_dots))
+
+
+def _without_dots(url: Column) -> Column:
+    """A full URL with the segments . and .. of its path carried out."""
+    origin, path = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*", 0), path_of(url)
+    segments = F.split(path, "/")
+    last = F.element_at(segments, -1)
+    none = F.array().cast("array<string>")
+
+    def step(kept, x):  # noqa: ANN001, ANN202
+        return F.when(x == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).when(x == ".", kept).otherwise(F.concat(kept, F.array(x)))
+
+    kept = F.aggregate(F.slice(segments, 2, F.size(segments)), none, step)
+    kept = F.concat(F.array(F.lit("")), kept, F.when(last.isin(".", ".."), F.array(F.lit(""))).otherwise(none))
+    rest = F.substring(url, F.length(origin) + F.length(path) + 1, F.length(url))
+    return F.when(path.rlike(r"/\.{1,2}(?:/|$)"), F.concat(origin, F.array_join(kept, "/"), rest)).otherwise(url)
 
 
 def judge(
@@ -82,12 +134,17 @@ def judge(
     """One row per input row: id, host, path, rule, verdict, alias_root (hash naming its component, null without edges).
 
     `redirects` may add (source, target) URLs. A null URL, or one without ://, has an empty host and path, no rule and
-    no aliases, and is allowed. Repeated URLs are one node and get one answer. An empty table gives no rows; other
+    no aliases, and is allowed. Relative targets
+    are resolved against the page. Repeated URLs are one node and get one answer. An empty table gives no rows; other
     columns are not read. Nodes are 64-bit hashes of URL forms.
     """
     url = F.col(f"`{url_col}`")
-    targets = named_targets(F.col(f"`{html_col}`")) if html_col else F.array().cast("array<string>")
-    seen = pages.select(F.col(f"`{id_col}`").alias("id"), host_of(url).alias("host"), path_of(url).alias("path"), one_form(url).alias("form"), F.coalesce(targets, F.array().cast("array<string>")).alias("targets"))
+    none = F.array().cast("array<string>")
+    html = F.col(f"`{html_col}`") if html_col else F.lit(None).cast("string")
+    seen = pages.select(F.col(f"`{id_col}`").alias("id"), url.alias("url"), F.coalesce(named_targets(html), none).alias("named"), F.coalesce(_base_targets(html), none).alias("based"))
+    seen = seen.withColumn("based", F.coalesce(F.get(resolved(F.col("based"), F.col("url")), F.lit(0)), "url"))
+    url = F.col("url")
+    seen = seen.select("id", host_of(url).alias("host"), path_of(url).alias("path"), one_form(url).alias("form"), resolved(F.col("named"), F.col("based")).alias("targets"))
     seen = seen.withColumn("hit", matching_rule(F.col("host"), F.col("path"), rules))
     seen = stored(seen.withColumn("node", F.xxhash64("form")).withColumn("node", F.when(F.col("form").isNotNull(), F.col("node"))))
     pointed = seen.where(F.size("targets") > 0).select("node", F.explode("targets").alias("target"))

@@ -104,6 +104,17 @@ def test_verdicts_reach_aliases(spark):
     assert {verdict[100 + i] for i in range(300)} == {"block"}
 
 
+def test_relative_targets_and_long_tags(spark):
+    link, far = '<link rel="canonical" href="{}">'.format, f'<link title="{"x" * 3000}" href="https://a.net/es/1" rel=canonical>'
+    pages = [
+        (1, "http://a.net/x/y?q", link("/es/1")), (2, "https://a.org/1", link("//a.net/es/1")), (3, "http://a.net/p", '<meta content="0;url=es/new" http-equiv=refresh>'), (4, "http://a.net/b/c/d", link("../../es/./2")),
+        (5, "http://e.org/1", far), (6, "http://e.org/2", '<base href="https://a.net/es/"><meta http-equiv="refresh" content="0; url=3">'), (7, "http://e.org/3", link("mailto:a@a.net/es/1")), (8, "http://e.org/4?x", link("?x#y")),
+        (9, "http://e.org/5", link("/go?to=https://a.net/es/1")), (10, "http://a.net", link("es/")), (11, "no scheme", link("/es/1")), (12, "http://e.org/6", "<link " * 50000),
+    ]
+    got = {r.page_id: r.verdict for r in url_filter.judge(page(spark, pages)).collect()}
+    assert [got[i] for i in range(1, 13)] == ["block"] * 6 + ["allow"] * 3 + ["block"] + ["allow"] * 2
+
+
 def test_redirect_table_and_no_pages(spark):
     moved = spark.createDataFrame([("http://q.org/1", "http://a.net/es/1"), (None, "x"), ("http://q.org/2", None)], "a string, b string")
     got = url_filter.judge(page(spark, [(1, "http://q.org/1", ""), (2, "http://q.org/2", "")]), redirects=moved)
