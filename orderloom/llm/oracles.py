@@ -80,3 +80,33 @@ shared AS (SELECT a AS form, CASE WHEN bool_or(allowed) THEN 'allow' WHEN bool_o
 SELECT page_id, s.host, s.path, rule, coalesce(f.verdict, shared.verdict, 'allow') AS verdict
 FROM seen s LEFT JOIN fits f ON s.host = f.host AND s.path = f.path LEFT JOIN shared ON s.form = shared.form
 """
+
+FILTER_AUDIT = rf"""
+WITH docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
+marks AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+masked AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(w) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM docs LEFT JOIN marks USING (doc_id)
+),
+counts AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM masked GROUP BY ALL),
+bits(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS o
+  FROM bits a, bits b, bits c, bits d, bits e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+),
+steps AS (SELECT filter_order, step, o[step] AS bit, coalesce(list_sum(o[1:step - 1]), 0)::INTEGER AS before FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS step FROM orders)),
+audit AS (
+  SELECT part, filter_order, step, bit, sum(n) FILTER (mask & (before | bit) = 0) AS kept, sum(n) FILTER (mask & before = 0 AND mask & bit <> 0) AS removed,
+         sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0) AS redundant, sum(n) FILTER (mask = bit) AS unique_fails,
+         sum(good) FILTER (mask & before = 0 AND mask & bit <> 0) AS good_lost, sum(toxic) FILTER (mask & before = 0 AND mask & bit <> 0) AS toxic_lost
+  FROM counts, steps GROUP BY ALL
+)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+       coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM audit
+"""

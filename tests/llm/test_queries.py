@@ -21,6 +21,7 @@ COLUMNS = {
     8: {"doc_id": "bigint", "item_id": "bigint"},
     9: {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"},
     10: {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
+    11: {"part": "string", "filter_order": "string", "step": "int", **{c: "bigint" for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")}},
 }
 
 
@@ -31,7 +32,9 @@ def test_contract_columns(spark, number):
     types = dict(out.dtypes)
     assert {c: types.get(c) for c in COLUMNS[number]} == COLUMNS[number]
     table = "pages" if "page_id" in types else "documents"
-    if number != 8:
+    if number == 11:
+        assert out.count() == 600 * spark.read.parquet(f"{DATA}/documents.parquet").selectExpr("coalesce(source, '') AS part").distinct().count()
+    elif number != 8:
         assert out.count() == spark.read.parquet(f"{DATA}/{table}.parquet").count()
 
 
