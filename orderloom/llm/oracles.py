@@ -110,3 +110,31 @@ SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(rem
        coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
 FROM audit
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+),
+counts AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, (VALUES (1), (2), (3), (4)) t(m) WHERE len(w) >= m) GROUP BY ALL
+),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE m = 1 GROUP BY lang),
+found AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f AS a FROM counts WHERE m > 1 AND f >= 30),
+cuts AS (
+  SELECT c.lang, c.m, c.phrase, c.a, c.k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM found) c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')
+),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_phrases AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS longest
+  FROM (SELECT lang, w, a, m, s, unnest(range(1, m - s + 2)) AS i FROM found, (VALUES (2), (3)) t(s) WHERE s < m) GROUP BY ALL
+),
+kept AS (SELECT lowest.* FROM lowest LEFT JOIN inner_phrases i USING (lang, phrase) WHERE i.longest IS NULL OR 100::HUGEINT * i.longest < 80::HUGEINT * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import arc_warc, decontaminate, filter_audit, jaccard_join, language_id, mixing, oracles, pii, quality_rules, secret_scan, url_filter
+from orderloom.llm import arc_warc, collocations, decontaminate, filter_audit, jaccard_join, language_id, mixing, oracles, pii, quality_rules, secret_scan, url_filter
 from orderloom.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -84,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op9_arc_to_warc": op9_arc_to_warc,
     "op10_quality_rules": op10_quality_rules,
     "op11_filter_audit": op11_filter_audit,
+    "op12_collocations": op12_collocations,
 }
 
 ORACLE: dict[str, str] = {
@@ -91,4 +96,5 @@ ORACLE: dict[str, str] = {
     "op2_jaccard_join": oracles.JACCARD_JOIN,
     "op7_url_filter": oracles.URL_FILTER,
     "op11_filter_audit": oracles.FILTER_AUDIT,
+    "op12_collocations": oracles.COLLOCATIONS,
 }
