@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import arc_warc, collocations, decontaminate, filter_audit, jaccard_join, language_id, mixing, oracles, pii, quality_rules, secret_scan, url_filter
+from orderloom.llm import (
+    arc_warc, collocations, decontaminate, discriminant, filter_audit, jaccard_join, language_id, mixing, oracles, pii, quality_rules, secret_scan, url_filter,
+)
 from orderloom.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +78,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op13_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, _ = discriminant.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return out
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -89,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_filter_audit": op11_filter_audit,
     "op12_collocations": op12_collocations,
+    "op13_quality_discriminant": op13_quality_discriminant,
 }
 
 ORACLE: dict[str, str] = {

@@ -23,6 +23,7 @@ COLUMNS = {
     10: {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
     11: {"part": "string", "filter_order": "string", "step": "int", **{c: "bigint" for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")}},
     12: {"lang": "string", "phrase": "string", **{c: "bigint" for c in ("rank", "a", "l", "r", "n", "score")}},
+    13: {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
 }
 
 
