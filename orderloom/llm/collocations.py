@@ -42,7 +42,7 @@ LEAST, MOST_WORDS, TOP, SCALE = 30, 4, 2000, 2_000_000
 DROPPED_AT = 80
 #: Pairs per language in the first batch, in multiples of `top`; each later batch is this much deeper.
 FIRST_BATCH, DEEPER = 2, 4
-CHUNK_BYTES, BLOCK_ROWS, SALTS = 3_000_000, 100_000, 32
+CHUNK_BYTES, BLOCK_ROWS, SALTS = 1_000_000, 50_000, 32
 TABLE_BITS = 26  # 8 MB, whatever the corpus
 
 _U = np.uint64
