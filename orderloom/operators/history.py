@@ -1,12 +1,13 @@
 """Slowly changing dimension of type 2: collapse, first load, change detection, incremental merge.
 
 Rows are first combined to one per (key, tracked values) on the map side, so a key with many events
-shrinks before it moves. Neighbouring versions are found by global row index instead of a window per
+shrinks before it moves. Neighbouring versions are found in a global order instead of a window per
 key, so that even a key with very many versions is spread over tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.history import end_of_time, row_hash
 from orderloom.operators.dedup import first_per_key
 from orderloom.operators.keys import add_surrogate_key, max_key, with_row_index
+from orderloom.session import stored
 
 
 class HistorySpec(NamedTuple):
@@ -66,15 +68,9 @@ def number_versions(versions: DataFrame, spec: HistorySpec = CUSTOMER) -> DataFr
 
 def initial_history(versions: DataFrame, spec: HistorySpec = CUSTOMER) -> DataFrame:
     """All versions with validity range, current flag and surrogate key."""
-    indexed = with_row_index(versions, _version_order(spec))
-    following = indexed.select(
-        (F.col("_index") - 1).alias("_index"),
-        F.col(spec.key).alias("_next_key"),
-        F.col("first_seen").alias("_next_start"),
-    )
-    joined = indexed.join(following, "_index", "left")
-    next_start = F.when(F.col("_next_key") == F.col(spec.key), F.col("_next_start"))
-    return joined.select(
+    indexed = with_row_index(versions, _version_order(spec), following=[spec.key, "first_seen"])
+    next_start = F.when(F.col("_next")[spec.key] == F.col(spec.key), F.col("_next")["first_seen"])
+    return indexed.select(
         F.col("_index").cast("bigint").alias(spec.surrogate),
         spec.key,
         *spec.carried,
@@ -114,8 +110,9 @@ def expire_versions(history: DataFrame, changes: DataFrame, now: Column, spec: H
     )
 
 
-def _opened(rows: DataFrame, now: Column, after: Column, spec: HistorySpec) -> DataFrame:
+def _opened(rows: DataFrame, now: Column, after: Column, spec: HistorySpec, first_by: Sequence[str] = ()) -> DataFrame:
     body = rows.select(
+        *first_by,
         spec.key,
         *spec.carried,
         *spec.tracked,
@@ -124,7 +121,7 @@ def _opened(rows: DataFrame, now: Column, after: Column, spec: HistorySpec) -> D
         F.lit(True).alias("is_current"),
         "row_hash",
     )
-    return add_surrogate_key(body, spec.surrogate, [spec.key, *spec.tracked], after)
+    return add_surrogate_key(body, spec.surrogate, [*first_by, spec.key, *spec.tracked], after).drop(*first_by)
 
 
 def new_versions(history: DataFrame, changes: DataFrame, now: Column, spec: HistorySpec = CUSTOMER) -> DataFrame:
@@ -151,11 +148,18 @@ def history_delta(
     value that differs from the current one opens again, and a new key gets all its versions as current.
     """
     staged = versions if every_version else latest_versions(versions, spec)
-    changes = detect_changes(history, staged, spec)
-    opened = new_versions(history, changes, now, spec)
-    offset = max_key(history, spec.surrogate) + opened.agg(F.count("*").alias("n")).scalar()
-    inserted = _opened(unseen_keys(history, staged, spec), now, offset, spec)
-    return expire_versions(history, changes, now, spec).unionByName(opened).unionByName(inserted)
+    known = current_rows(history).select(spec.key, F.col(spec.surrogate).alias("old_key"), F.col("row_hash").alias("_current_hash"))
+    fresh = F.col("old_key").isNull()
+    # What is new, stored once: the staged versions are computed for this one join only.
+    found = stored(
+        staged.join(known, spec.key, "left")
+        .where(fresh | (F.col("row_hash") != F.col("_current_hash")))
+        .select(*staged.columns, fresh.alias("_fresh"))
+    )
+    changes = found.where(~F.col("_fresh"))
+    # new versions of known keys are numbered first, then the new keys
+    opened = _opened(found, now, max_key(history, spec.surrogate), spec, ["_fresh"])
+    return expire_versions(history, changes, now, spec).unionByName(opened)
 
 
 def merge_history(history: DataFrame, delta: DataFrame, spec: HistorySpec = CUSTOMER) -> DataFrame:

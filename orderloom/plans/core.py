@@ -12,6 +12,7 @@ from orderloom.functions.history import beginning_of_time, end_of_time, row_hash
 from orderloom.operators.history import CUSTOMER, HistorySpec, collapse_versions, initial_history
 from orderloom.operators.keys import add_small_surrogate_key, add_surrogate_key, with_unknown_members
 from orderloom.operators.lookups import null_as_empty
+from orderloom.session import stored
 
 NO_DATE_KEY = 19000101
 
@@ -64,10 +65,15 @@ def customer_members(history: DataFrame, spec: HistorySpec = CUSTOMER) -> DataFr
     )
 
 
+def history_with_members(versions: DataFrame, spec: HistorySpec = CUSTOMER) -> DataFrame:
+    """First load of collapsed versions, plus the two fixed members."""
+    history = initial_history(versions, spec)
+    return with_unknown_members(history, customer_members(history, spec))
+
+
 def dim_customer(stg_events: DataFrame, spec: HistorySpec = CUSTOMER) -> DataFrame:
     """First load: every version of every customer, plus the two fixed members."""
-    history = initial_history(collapse_versions(customer_rows(stg_events), spec), spec)
-    return with_unknown_members(history, customer_members(history, spec))
+    return history_with_members(collapse_versions(customer_rows(stg_events), spec), spec)
 
 
 def dim_product(stg_products: DataFrame) -> DataFrame:
@@ -106,12 +112,12 @@ def dim_device(checkouts: DataFrame) -> DataFrame:
 
 
 def dim_exchange_rate(exchange_rates: DataFrame) -> DataFrame:
-    """Currencies of the seed table. Blank and 'UNDEFINED' codes are left out."""
+    """Currencies of the seed table, as many as there are in the world. Blank and 'UNDEFINED' codes are left out."""
     code = F.col("currency_code")
     rates = exchange_rates.where((code != "") & (code != "UNDEFINED")).select(
         "currency_code", "rate_to_usd"
     ).distinct()
-    keyed = add_surrogate_key(rates, "exchange_rate_key", ["currency_code", "rate_to_usd"])
+    keyed = add_small_surrogate_key(rates, "exchange_rate_key", ["currency_code", "rate_to_usd"])
     return with_unknown_members(keyed, _members(keyed, [-1, "UNKNOWN", 1], [-2, "N/A", 1]))
 
 
@@ -172,7 +178,8 @@ def fact_sales_order_line(
         F.col("product_id").alias("_product_id"),
         F.col("product_key").alias("_match"),
     )
+    # stored once: numbering reads the order columns twice and all columns once
     keyed = add_surrogate_key(
-        lines, "sales_line_key", ["order_timestamp", "event_id", "_match", "_product_id"]
+        stored(lines), "sales_line_key", ["order_timestamp", "event_id", "_match", "_product_id"]
     )
     return keyed.drop("_product_id", "_match")
