@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("loads", "cleaning", "history", "star", "marts", "profiles", "crawls", "reports", "streams")
+MODULES = ("loads", "cleaning", "history", "star", "marts", "warehouse", "profiles", "crawls", "reports", "streams")
 
 
 def all_queries() -> tuple[dict, dict]:
