@@ -60,13 +60,10 @@ def order_aggregates(spark, sf):
 )
 def approx_quantiles(spark, sf):
     """Exact discrete quantiles of two measures."""
-    sales = view(spark, sf, "sales")
-    out = None
-    for measure in ("quantity", "usd_cents"):
-        q = exact_quantiles(sales, measure, ["0.25", "0.5", "0.75", "0.95", "0.99"])
-        q = q.select(F.lit(measure).alias("measure"), "probability", F.col("value").cast("bigint").alias("value"))
-        out = q if out is None else out.unionByName(q)
-    return out
+    measures = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("amount")) for c in ("quantity", "usd_cents")])
+    rows = view(spark, sf, "sales").select(F.explode(measures).alias("m")).select("m.*")
+    found = exact_quantiles(rows, "amount", ["0.25", "0.5", "0.75", "0.95", "0.99"], ["measure"], few_groups=True)
+    return found.withColumn("value", F.col("value").cast("bigint"))
 
 
 @query(
