@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orderloom.catalog.registry import query, scratch
-from orderloom.catalog.standins import duck, view
-from orderloom.streaming import autoload as a
+from orderloom.catalog.standins import duck, table, view
+from orderloom.streaming import autoload as a, cursor
 
 
 @query(
@@ -62,3 +62,21 @@ def stream_dedup(spark, sf):
     )
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out").groupBy("collection").agg(F.count("*").alias("events"))
+
+
+@query(
+    "cursor_read_with_resume",
+    """SELECT event_type, CAST(count(*) AS BIGINT) AS event_rows, CAST(count(DISTINCT event_id) AS BIGINT) AS events, CAST(sum(user_id) AS BIGINT) AS user_sum
+    FROM events GROUP BY 1""",
+)
+def cursor_read_with_resume(spark, sf):
+    """All events by key in nine or ten batches; the run is stopped after three and goes on where it was."""
+    base, rows = scratch(spark), table(spark, sf, "events")
+    events = cursor.ParquetCollection(f"{sf}/events.parquet", "event_id", ("event_id", "user_id", "event_type"))
+    size = -(-rows.count() // 9)
+    stream = cursor.read_cursor(spark, events, "event_id long, user_id long, event_type string", size, ranges=4)
+    cursor.drain(stream, f"{base}/out", f"{base}/checkpoint", most_batches=3)
+    cursor.drain(stream, f"{base}/out", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out").groupBy("event_type").agg(
+        F.count("*").alias("event_rows"), F.count_distinct("event_id").alias("events"), F.sum("user_id").alias("user_sum")
+    )
