@@ -457,3 +457,43 @@ def nested_cart_rebuild(spark, sf):
     df = _loaded(spark, sf, normalise_options=False)
     rows = df.select("_id", F.explode("cart_products").alias("c")).select("_id", "c.product_id", "c.amount", "c.price", F.explode("c.option").alias("o"))
     return rows.select("_id", "product_id", "amount", "price", "o.*")
+
+
+@query(
+    "random_sample",
+    """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_quantity FROM lineitem
+    ORDER BY ln((CAST('0x' || substr(md5('7|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0) / l_quantity DESC,
+      l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 1000""",
+)
+def random_sample(spark, sf):
+    """A thousand order lines, drawn with their quantity as weight."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    drawn = sampling.random_rows(lines, 1000, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 7, F.col("l_quantity"))
+    return drawn.drop("l_suppkey")
+
+
+@query(
+    "check_declared_sources",
+    duck(
+        """SELECT *, failing = 0 AS passed FROM (
+          SELECT 'events' AS table_name, '_id' AS column_name, 'unique' AS test, (SELECT CAST(count(*) AS BIGINT) FROM (SELECT _id FROM ev_dup GROUP BY 1 HAVING count(*) > 1)) AS failing
+          UNION ALL SELECT 'events', '_id', 'not_null', (SELECT CAST(count(*) FILTER (_id IS NULL) AS BIGINT) FROM ev_dup)
+          UNION ALL SELECT 'events', 'ingested_at', 'fresh', CAST(0 AS BIGINT)
+          UNION ALL SELECT 'ip_locations', 'ip', 'not_null', (SELECT CAST(count(*) FILTER (ip IS NULL) AS BIGINT) FROM geo)
+          UNION ALL SELECT 'ip_locations', 'ingested_at', 'fresh', CAST(1 AS BIGINT)
+          UNION ALL SELECT 'products', 'product_id', 'unique', (SELECT CAST(count(*) AS BIGINT) FROM (SELECT product_id FROM prod_dup GROUP BY 1 HAVING count(*) > 1))
+          UNION ALL SELECT 'products', 'product_id', 'not_null', (SELECT CAST(count(*) FILTER (product_id IS NULL) AS BIGINT) FROM prod_dup)
+          UNION ALL SELECT 'products', 'ingested_at', 'fresh', CAST(0 AS BIGINT))""",
+        "ev_dup",
+        "geo",
+        "prod_dup",
+    ),
+)
+def check_declared_sources(spark, sf):
+    """Declared tests of the raw tables on the fourth of February 2024: unique, not_null and fresh."""
+    raw = {"events": raw_events(spark, sf, "ev_dup"), "ip_locations": raw_ip_locations(spark, sf), "products": raw_products(spark, sf, "prod_dup")}
+    out = None
+    for name, df in raw.items():
+        one = schemas.check_declared(df, name, F.to_timestamp(F.lit("2024-02-04 00:00:00")))
+        out = one if out is None else out.unionByName(one)
+    return out

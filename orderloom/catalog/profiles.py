@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orderloom.catalog.frames import raw_events, raw_ip_locations, raw_products
-from orderloom.catalog.registry import query
+from orderloom.catalog.registry import query, scratch
 from orderloom.catalog.standins import duck, table, view
 from orderloom.functions.cleaning import percent
-from orderloom.operators import discovery, profiling as p
+from orderloom.operators import discovery, estimates, profiling as p, sampling, structure
 from orderloom.plans import reports
+from orderloom.session import stored
 
 
 def _pct(part: str, whole: str = "count(*)", digits: int = 2) -> str:
@@ -734,3 +735,99 @@ def field_presence_by_type(spark, sf):
     lines = not_blank(_lines(spark, sf)).withColumn("collection", json_scalar("line", "$.collection"))
     fields = discovery.document_fields(lines, carry=("collection",))
     return fields.groupBy("collection", "path").agg(F.count("*").alias("occurrences"))
+
+
+@query(
+    "estimated_counts",
+    duck(
+        """SELECT c AS column_name, CAST(n AS BIGINT) AS row_count, CAST(f AS BIGINT) AS filled, CAST(d AS BIGINT) AS exact_distinct, TRUE AS within_bound, TRUE AS rows_from_footers FROM (
+          SELECT '_id' AS c, count(*) AS n, count(_id) AS f, count(DISTINCT _id) AS d FROM ev UNION ALL SELECT 'device_id', count(*), count(device_id), count(DISTINCT device_id) FROM ev
+          UNION ALL SELECT 'ip', count(*), count(ip), count(DISTINCT ip) FROM ev UNION ALL SELECT 'product_id', count(*), count(product_id), count(DISTINCT product_id) FROM ev)""",
+        "ev",
+    ),
+)
+def estimated_counts(spark, sf):
+    """Rows from footers, and distinct values from daily sketches of two loads, held against the exact counts."""
+    names, day = ["_id", "device_id", "ip", "product_id"], F.to_date(F.timestamp_seconds("time_stamp"))
+    events, path = view(spark, sf, "ev").select(*names, "time_stamp"), scratch(spark)
+    half = events.agg(F.percentile_approx("time_stamp", 0.5)).first()[0]
+    first = events.where(day < F.to_date(F.timestamp_seconds(F.lit(half))))
+    estimates.daily_sketches(first, day, names).write.parquet(path)
+    later = estimates.new_days(spark.read.parquet(path), events, day)
+    stored(estimates.daily_sketches(later, day, names)).write.mode("append").parquet(path)
+    counts = estimates.merged_counts(spark.read.parquet(path))
+    exact = p.cardinality(events, names).select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"distinct_{c}").alias("exact_distinct")) for c in names])).alias("e")
+    ).select("e.*")
+    rows = estimates.footer_rows(table(spark, sf, "events"))
+    near = F.abs(F.col("distinct_estimate") - F.col("exact_distinct")) <= estimates.ERROR_BOUND * F.col("exact_distinct")
+    return counts.join(exact, "column_name").select(
+        "column_name", F.col("rows").alias("row_count"), "filled", "exact_distinct", near.alias("within_bound"), (F.col("rows") == rows).alias("rows_from_footers")
+    )
+
+
+# Options: event_id % 4 each. Cart lines: event_id % 3 of checkouts.
+_PATHS = [
+    ("_id", 1, "string", "SCALAR", "count(_id)", "min(_id)"),
+    ("option", 1, "array", "REPEATED", "count(*) FILTER (event_id % 4 > 0)", "NULL"),
+    *[
+        (f"option[].{c}", 2, "string", "SCALAR", "sum(event_id % 4)" if v else "count(*) FILTER (false)", f"'{v}'" if v else "NULL")
+        for c, v in (("option_id", ""), ("option_label", "alloy"), ("value_id", ""), ("value_label", "gold"), ("quality", ""), ("quality_label", ""))
+    ],
+    ("cart_products", 1, "array", "REPEATED", "count(*) FILTER (lines > 0)", "NULL"),
+    ("cart_products[].product_id", 2, "bigint", "SCALAR", "sum(lines)", "min(CAST(event_id % 500 AS VARCHAR)) FILTER (lines > 0)"),
+    ("cart_products[].amount", 2, "bigint", "SCALAR", "sum(lines)", "min('1') FILTER (lines > 0)"),
+    ("cart_products[].price", 2, "string", "SCALAR", "coalesce(sum(lines) FILTER (price IS NOT NULL), 0)", "min(price) FILTER (lines > 0)"),
+    ("cart_products[].currency", 2, "string", "SCALAR", "coalesce(sum(lines) FILTER (currency IS NOT NULL), 0)", "min(currency) FILTER (lines > 0)"),
+    ("cart_products[].option", 2, "array", "REPEATED", "count(*) FILTER (false)", "NULL"),
+    *[
+        (f"cart_products[].option[].{c}", 3, t, "SCALAR", "count(*) FILTER (false)", "NULL")
+        for c, t in (("option_id", "bigint"), ("option_label", "string"), ("value_id", "bigint"), ("value_label", "string"))
+    ],
+]
+
+
+@query(
+    "nested_column_metadata",
+    duck(
+        " UNION ALL ".join(
+            f"""SELECT 'events' AS table_name, '{path}' AS path, CAST({i} AS BIGINT) AS ordinal_position, CAST({depth} AS BIGINT) AS depth, '{kind}' AS data_type,
+            '{mode}' AS field_mode, CAST({n} AS BIGINT) AS filled_values, CAST({sample} AS VARCHAR) AS sample FROM carts"""
+            for i, (path, depth, kind, mode, n, sample) in enumerate(_PATHS, 1)
+        ),
+        "ev",
+        carts="SELECT *, CASE WHEN order_id <> '' THEN event_id % 3 ELSE 0 END AS lines FROM ev",
+    ),
+)
+def nested_column_metadata(spark, sf):
+    """Every field of the nested events with its depth, filled values and a sample."""
+    events = raw_events(spark, sf).select("_id", "option", "cart_products")
+    return structure.nested_columns(events, "events").drop("is_nullable")
+
+
+@query(
+    "column_count_summary",
+    """SELECT table_name, CAST(count(*) AS BIGINT) AS total_columns, CAST(count(*) FILTER (is_nullable = 'YES') AS BIGINT) AS nullable_columns,
+      CAST(count(*) FILTER (is_nullable = 'NO') AS BIGINT) AS non_nullable_columns, CAST(0 AS BIGINT) AS nested_columns, CAST(count(*) AS BIGINT) AS total_fields
+    FROM information_schema.columns WHERE table_name IN ('events', 'orders', 'customer') GROUP BY 1""",
+)
+def column_count_summary(spark, sf):
+    out = None
+    for name in ("events", "orders", "customer"):
+        one = structure.column_summary(table(spark, sf, name), name)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(
+    "missing_names_sample",
+    duck(
+        f"""SELECT (SELECT CAST(count(*) AS BIGINT) FROM prod) AS total_rows, (SELECT {_big(_n("product_name = ''"))} FROM prod) AS offending_rows,
+          (SELECT {_pct(_n("product_name = ''"))} FROM prod) AS offending_pct, product_id, url FROM prod WHERE product_name = '' ORDER BY product_id LIMIT 5""",
+        "prod",
+    ),
+)
+def missing_names_sample(spark, sf):
+    """How many products lack a name, and the first five of them."""
+    gone = ~p.has_value("product_name")
+    return sampling.offending_sample(view(spark, sf, "prod"), gone, 5, ["product_id"], ["product_id", "url"])

@@ -81,3 +81,35 @@ def ipv4_number(ip: Column | str) -> Column:
     parts = F.transform(F.split(text, r"\."), lambda p: p.try_cast("bigint"))
     valid = text.rlike(IPV4_PATTERN) & F.forall(parts, lambda p: p.between(0, 255))
     return F.when(valid, F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, p: acc * 256 + p))
+
+
+#: IPv4 addresses inside the address space of IPv6 (::ffff:0:0/96).
+IPV4_PREFIX = "0" * 20 + "ffff"
+
+
+def _hex_groups(text: Column) -> Column:
+    """Groups of hex digits between colons; none of an empty text."""
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ":"))
+
+
+def address_key(ip: Column | str) -> Column:
+    """An IPv4 or IPv6 address as 32 hex digits, whose order as text is that of the numbers; NULL for anything else.
+
+    IPv4 addresses lie at ::ffff:0:0/96, in either spelling. A zone (%eth0) is not part of the number.
+    """
+    text = F.col(ip) if isinstance(ip, str) else ip
+    v4 = ipv4_number(text)
+    text = F.lower(F.substring_index(text, "%", 1))
+    # a dotted end is two groups
+    dotted = ipv4_number(F.substring_index(text, ":", -1))
+    ends = F.lpad(F.lower(F.hex(dotted)), 8, "0")
+    text = F.when(dotted.isNotNull(), F.concat(F.regexp_replace(text, r"[^:]*$", ""), F.substring(ends, 1, 4), F.lit(":"), F.substring(ends, 5, 4))).otherwise(text)
+    halves = F.split(text, "::")
+    open_end = F.size(halves) == 2
+    head, tail = _hex_groups(F.get(halves, F.lit(0))), F.when(open_end, _hex_groups(F.get(halves, F.lit(1)))).otherwise(F.array().cast("array<string>"))
+    gap = F.lit(8) - F.size(head) - F.size(tail)
+    zeros = F.when(open_end & (gap > 0), F.array_repeat(F.lit("0"), gap)).otherwise(F.array().cast("array<string>"))
+    groups = F.concat(head, zeros, tail)
+    valid = (F.size(halves) <= 2) & (F.size(groups) == 8) & (~open_end | (gap > 0)) & F.forall(groups, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
+    v6 = F.when(text.contains(":") & valid, F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), ""))
+    return F.coalesce(F.concat(F.lit(IPV4_PREFIX), F.lpad(F.lower(F.hex(v4)), 8, "0")), v6)

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.cleaning import dash_to_null
-from orderloom.functions.urls import ipv4_number
+from orderloom.functions.urls import IPV4_PREFIX, address_key
 from orderloom.operators.dedup import first_per_key
+from orderloom.operators.keys import bucket_of
+
 
 def fx_pick(items: DataFrame, rates: DataFrame, keys: Sequence[str], tie_break: Sequence[Column | str] = ()) -> DataFrame:
     """Currency code and rate of each cart line; one row per `keys`.
@@ -43,43 +45,46 @@ def null_as_empty(left: Column, right: Column) -> Column:
     return F.coalesce(left, F.lit("")) == F.coalesce(right, F.lit(""))
 
 
+IP_SLICES = 8
+
+
 def locate_ips(ips: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
-    """Country, region and city of each distinct IP from a table of disjoint ranges.
+    """Country, region and city of each distinct IPv4 or IPv6 address from a table of disjoint ranges.
+
+    `ranges`: start_ip, end_ip (inclusive; text of either family, or numbers of IPv4), country, region, city; '-' means
+    unknown. Text that is no address gets NULLs.
 
-    `ranges`: start_ip, end_ip (numbers, inclusive), country, region, city; '-' means unknown.
-    Ranges are cut at /16 borders, at most 65,536 cuts in all. Inside a /16 the last range that starts
-    at or before the address is found by one sorted pass, so no address-range pairs are formed, and a
-    /16 can never hold more than 65,536 distinct addresses. Other address text gets NULLs.
+    Both tables are cut at borders drawn from the range starts. In a bucket one sorted pass finds the last range that
+    starts at or before an address; where there is none, it is the last range of an earlier bucket. So no address-range
+    pairs are formed, whatever the width of a range. Ranges go to each of a few slices of their bucket, and addresses to
+    one by hash, so a range that holds many of the addresses is no single task.
     """
-    block = 65536
-    wanted = ips.select(F.col(ip).alias("ip")).where(F.col("ip").isNotNull()).distinct()
-    wanted = wanted.withColumn("_at", ipv4_number("ip"))
-    # Different texts of one address ('1.2.3.4', '01.2.3.4') share a number: look up each number once.
-    numbers = wanted.where(F.col("_at").isNotNull()).select("_at").distinct()
-
-    first_block, last_block = F.floor(F.col("start_ip") / block), F.floor(F.col("end_ip") / block)
-    cuts = ranges.withColumn("_block", F.explode(F.sequence(first_block, last_block))).select(
-        "_block",
-        F.greatest(F.col("start_ip"), F.col("_block") * block).alias("_at"),
-        F.least(F.col("end_ip"), F.col("_block") * block + (block - 1)).alias("_end"),
-        F.struct("country", "region", "city").alias("_place"),
-    )
-    asked = numbers.select(
-        F.floor(F.col("_at") / block).alias("_block"), "_at", F.lit(True).alias("_asked")
-    )
-    lined_up = asked.unionByName(cuts, allowMissingColumns=True)
-    w = Window.partitionBy("_block").orderBy("_at", F.col("_asked").asc_nulls_first())
-    found = lined_up.withColumn(
-        "_range", F.last(F.when(F.col("_asked").isNull(), F.struct("_end", "_place")), ignorenulls=True).over(w)
-    ).where(F.col("_asked"))
-    place = F.when(F.col("_at") <= F.col("_range._end"), F.col("_range._place"))
-    found = found.select("_at", place.alias("_place"))
-    # text that is no IPv4 address has nothing to join with, and would all meet in one partition
-    placed = wanted.where(F.col("_at").isNotNull()).join(found, "_at", "left").select("ip", "_place")
-    others = wanted.where(F.col("_at").isNull()).select("ip", F.lit(None).cast(found.schema["_place"].dataType).alias("_place"))
-    return placed.union(others).select(
-        "ip", *[dash_to_null(F.col(f"_place.{c}")).alias(c) for c in ("country", "region", "city")]
-    )
+    wanted = ips.select(F.col(ip).alias("ip")).where(F.col("ip").isNotNull()).distinct().withColumn("_at", address_key("ip"))
+    ends = {c: address_key(c) if ranges.schema[c].dataType.simpleString() == "string" else _ipv4_key(F.col(c)) for c in ("start_ip", "end_ip")}
+    place = F.struct(ends["end_ip"].alias("end"), *[F.col(c) for c in ("country", "region", "city")]).alias("_range")
+    known = ranges.select(ends["start_ip"].alias("_at"), place).where("_at is not null")
+    bucket = bucket_of(known, ["_at"])
+    known = known.withColumn("_bucket", bucket)
+    # one row per bucket that has ranges: what the buckets behind it begin with
+    last = known.groupBy("_bucket").agg(F.max_by("_range", "_at").alias("_range"))
+    slices = F.explode(F.sequence(F.lit(0), F.lit(IP_SLICES - 1))).alias("_slice")
+    asked = wanted.select(
+        # text that is no address is spread, else it would all meet in one task
+        F.when(F.col("_at").isNull(), -1).otherwise(bucket).alias("_bucket"), F.pmod(F.xxhash64("ip"), F.lit(IP_SLICES)).cast("int").alias("_slice"),
+        "_at", "ip",
+    )
+    lined_up = known.select("_bucket", slices, "_at", "_range").unionByName(asked, allowMissingColumns=True)
+    upto = Window.partitionBy("_bucket", "_slice").orderBy("_at", F.col("ip").asc_nulls_first())
+    found = lined_up.withColumn("_inner", F.last("_range", ignorenulls=True).over(upto)).where("ip is not null")
+    earlier = last.agg(F.sort_array(F.collect_list(F.struct("_bucket", "_range"))).alias("e")).scalar()  # as many entries as buckets
+    before = F.try_element_at(F.filter("_ends", lambda e: e["_bucket"] < F.col("_bucket")), F.lit(-1))["_range"]
+    chosen = found.withColumn("_ends", earlier).select("ip", "_at", F.coalesce("_inner", before).alias("_range"))
+    hit = F.col("_at") <= F.col("_range.end")
+    return chosen.select("ip", *[dash_to_null(F.when(hit, F.col(f"_range.{c}"))).alias(c) for c in ("country", "region", "city")])
+
+
+def _ipv4_key(number: Column) -> Column:
+    return F.concat(F.lit(IPV4_PREFIX), F.lpad(F.lower(F.hex(number.cast("bigint"))), 8, "0"))
 
 
 def merge_by_key(base: DataFrame, key: str, *updates: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderloom.operators.quantiles import exact_quantiles
 
+# Fixed values.
 PLACEHOLDER_QUANTITIES = (9999, 999, 9998, 1000)
 THRESHOLD = "0.99"
 

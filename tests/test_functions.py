@@ -170,3 +170,22 @@ def test_calendar_year_borders(spark):
     assert (leap.is_leap_year, leap.week, leap.iso_week, leap.is_last_day_of_month) == (True, 8, 9, True)
     first = df.where("full_date = DATE'2016-01-01'").first()
     assert (first.week, first.iso_week, first.iso_year, first.day_of_week) == (0, 53, 2015, 6)
+
+
+def test_address_keys_match_the_standard_library(spark):
+    import ipaddress
+    import random
+
+    rng = random.Random(4)
+    texts = [str(ipaddress.IPv6Address(rng.getrandbits(128) >> rng.choice([0, 16, 64, 120]))) for _ in range(60)]
+    texts += [ipaddress.IPv6Address(rng.getrandbits(128)).exploded.upper() for _ in range(10)] + [str(ipaddress.IPv4Address(rng.getrandbits(32))) for _ in range(20)]
+    texts += ["::", "::1", "1::", "fe80::1%eth0", "::ffff:10.1.2.3", "64:ff9b::1.2.3.4", "1:2:3:4:5:6:7::", "1:2:3:4:5:6:1.2.3.4"]
+    wrong = ["", ":", ":::", "1::2::3", "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8:9", "12345::", "g::", "1.2.3", "1.2.3.4.5", "256.1.1.1", "::1.2.3", "1:2:3:4:5:6:7:8::", "x"]
+    df = spark.createDataFrame([(t,) for t in [*texts, *wrong, None]], "ip string").withColumn("key", urls.address_key("ip"))
+    for r in df.collect():
+        if r.ip in texts:
+            a = ipaddress.ip_address(r.ip.split("%")[0])
+            number = int(a) if a.version == 6 else int(ipaddress.IPv6Address(f"::ffff:{a}"))
+            assert r.key == f"{number:032x}", r.ip
+        else:
+            assert r.key is None, r.ip
