@@ -139,11 +139,25 @@ def _cut(placed: DataFrame, budget: float) -> tuple[float, tuple[float, str] | N
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:  # noqa: ANN003
-    """Rows of `docs` that the mix takes, with size, source_size, target and taken (repeated rows as one, with their sum)."""
-    names = docs.columns
+    """Rows of `docs` that the mix takes, with size, source_size, target and taken (repeated rows as one, with their sum).
+
+    A column of `docs` that has one of these four names goes on as `input_<name>`. Of rows with equal id and text but
+    other columns, the one that is smallest as JSON stays.
+    """
+    names, added = docs.columns, ("size", "source_size", "target", "taken")
     marked = docs.withColumn(KEY, row_key(id_col, text_col))
     taken = mix(marked, id_col, text_col, source_col, keep=(KEY,), **options).where("taken > 0")
-    figures = [F.first(c).alias(c) for c in ("size", "source_size", "target")]
+    figures = [F.first(c).alias(c) for c in added[:3]]
     taken = taken.groupBy(KEY).agg(*figures, F.sum("taken").alias("taken"))
-    kept = marked.select(KEY, F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")).join(taken, KEY).dropDuplicates([KEY])
-    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in names], "size", "source_size", "target", "taken")
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    order = F.to_json(F.struct(*[F.col(f"`{c}`") for c in names if c != text_col])).alias("order")
+    kept = marked.select(KEY, row, order).join(taken.select(KEY, F.struct(*added).alias("figures")), KEY)
+    kept = kept.groupBy(KEY).agg(F.min_by("row", "order").alias("row"), F.first("figures").alias("figures"))
+
+    def free(name: str) -> str:
+        while name in names or name in added:
+            name = f"input_{name}"
+        return name
+
+    own = [F.col(f"row.`{c}`").alias(free(c) if c in added else c) for c in names]
+    return kept.select(*own, *[F.col(f"figures.{c}").alias(c) for c in added])

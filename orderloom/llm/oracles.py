@@ -61,10 +61,12 @@ WITH RECURSIVE rules(verdict, rule, h, p) AS (VALUES
   ('block', 'net/es/', 'net', '/es/'), ('block', 'net/fr/', 'net', '/fr/')),
 seen AS (SELECT page_id, url, html, {_HOST.format(u="url")} AS host, {_PATH.format(u="url")} AS path, {_FORM.format(u="url")} AS form FROM pages),
 named AS (
-  SELECT form, unnest(list_concat(
-    regexp_extract_all(html, '<link\b[^>]*?\brel\s*=\s*["'']?canonical\b[^>]*?\bhref\s*=\s*["'']?([^"''\s>]+)', 1, 'is'),
-    regexp_extract_all(html, '<meta\b[^>]*?\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*?\bcontent\s*=\s*["'']?\s*[0-9.]*\s*;\s*url\s*=\s*[''"]?([^"''\s>]+)', 1, 'is'))) AS url
-  FROM seen WHERE form IS NOT NULL
+  SELECT form, replace(regexp_replace(raw, '&(amp|#0*38|#x0*26);', '&', 'gi'), '&#47;', '/') AS url FROM (SELECT form, unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(html, '(?i)<link\b[^>]*'), lambda t: regexp_matches(t, '(?i)[^\w-]rel\s*=\s*("([^"]*\s)?canonical["\s]|''([^'']*\s)?canonical[''\s]|canonical\b)')),
+      lambda t: regexp_extract(t, '(?i)[^\w-]href\s*=\s*["'']?([^"''\s>]+)', 1)),
+    list_transform(list_filter(regexp_extract_all(html, '(?i)<meta\b[^>]*'), lambda t: regexp_matches(t, '(?i)[^\w-]http-equiv\s*=\s*["'']?refresh\b')),
+      lambda t: regexp_extract(t, '(?i)[^\w-]content\s*=\s*["'']?\s*[0-9.]*\s*;\s*url\s*=\s*[''"]?([^"''\s>]+)', 1)))) AS raw
+  FROM seen WHERE form IS NOT NULL) WHERE raw <> ''
 ),
 ends AS (SELECT form, url, {_HOST.format(u="url")} AS host, {_PATH.format(u="url")} AS path, {_FORM.format(u="url")} AS other FROM named WHERE contains(url, '://')),
 edges AS (SELECT form AS a, other AS b FROM ends UNION SELECT other, form FROM ends),

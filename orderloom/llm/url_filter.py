@@ -12,6 +12,8 @@ and a target that very many pages name is one star, pre-aggregated before each s
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -49,17 +51,28 @@ def one_form(url: Column) -> Column:
 def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES) -> Column:
     """struct(rule, verdict) of the longest rule that fits, else null; the first of rules of equal length.
 
-    A rule (host, path) fits its host and all subdomains when the path starts with its own.
+    A rule (host, path) fits its host and all subdomains when the path starts with its own. The rules are one literal, a
+    hash table by host: each suffix of a host asks one bucket, so neither plan nor rows grow with the number of rules.
     """
+    none = F.lit(None).cast("struct<rule:string,verdict:string>")
+    if not rules:
+        return none
     if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules: join them as a table instead")
-    out = F.lit(None).cast("struct<rule:string,verdict:string>")
-    for verdict, rule in sorted(rules, key=lambda r: len(r[1])):  # stable, so the first of equals is kept below
+        raise ValueError(f"more than {MOST_RULES} rules do not fit into the plan")
+    buckets: list[list[dict]] = [[] for _ in range(len(rules))]
+    for n, (verdict, rule) in enumerate(sorted(rules, key=lambda r: -len(r[1]))):  # stable, so the first of equals comes first
         name, _, rest = rule.partition("/")
-        fits = ((host == name) | F.endswith(host, F.lit(f".{name}"))) & F.startswith(path, F.lit(f"/{rest}"))
-        equal_before = out.isNotNull() & (F.length(out["rule"]) == len(rule))
-        out = F.when(fits & ~F.coalesce(equal_before, F.lit(False)), F.struct(F.lit(rule).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(out)
-    return out
+        buckets[zlib.crc32(name.encode()) % len(buckets)].append({"n": n, "host": name, "path": f"/{rest}", "rule": rule, "verdict": verdict})
+    table = F.from_json(F.lit(json.dumps(buckets)), "array<array<struct<n:int,host:string,path:string,rule:string,verdict:string>>>")
+    labels = F.split(host, r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+
+    def fitting(suffix: Column) -> Column:
+        bucket = F.get(table, F.pmod(F.crc32(suffix.cast("binary")), F.lit(len(buckets))).cast("int"))
+        return F.filter(bucket, lambda r: (r["host"] == suffix) & F.startswith(path, r["path"]))
+
+    best = F.array_min(F.flatten(F.transform(suffixes, fitting)))
+    return F.when(best.isNotNull(), F.struct(best["rule"].alias("rule"), best["verdict"].alias("verdict"))).otherwise(none)
 
 
 def _attribute(name: str, value: str) -> str:
@@ -67,23 +80,36 @@ def _attribute(name: str, value: str) -> str:
     return rf"""(?is)(?<![\w-]){name}\s*+=\s*+["']?{value}"""
 
 
+#: One of the words of a rel attribute, quoted or not.
+_CANONICAL = r"""(?:(?<=")(?:[^">]*\s)?|(?<=')(?:[^'>]*\s)?|(?<![\w"'-]))canonical(?=["'\s>]|$)"""
+
+
 def named_targets(html: Column) -> Column:
     """What a page names as its own place, as written: canonical links and refresh targets.
 
-    Tags are cut out whole and their attributes read in any order; an unclosed tag goes to the end of the page.
+    Tags are cut out whole and their attributes read in any order; an unclosed tag goes to the end of the page. `rel` may
+    have several words. Targets are decoded: `&amp;` and the numeric forms of the characters that URLs are made of.
     """
-    links = F.filter(F.regexp_extract_all(html, F.lit(r"(?i)<link\b[^>]*+"), F.lit(0)), lambda t: t.rlike(_attribute("rel", r"canonical\b")))
+    links = F.filter(F.regexp_extract_all(html, F.lit(r"(?i)<link\b[^>]*+"), F.lit(0)), lambda t: t.rlike(_attribute("rel", _CANONICAL)))
     metas = F.filter(F.regexp_extract_all(html, F.lit(r"(?i)<meta\b[^>]*+"), F.lit(0)), lambda t: t.rlike(_attribute("http-equiv", r"refresh\b")))
     link = F.transform(links, lambda t: F.regexp_extract(t, _attribute("href", r"""([^"'\s>]+)"""), 1))
     fresh = F.transform(metas, lambda t: F.regexp_extract(t, _attribute("content", r"""\s*+[0-9.]*+\s*+;\s*+url\s*+=\s*+['"]?([^"'\s>]+)"""), 1))
-    return F.filter(F.array_union(link, fresh), lambda u: u != "")
+    return F.filter(F.transform(F.array_union(link, fresh), _decoded), lambda u: u != "")
+
+
+def _decoded(text: Column) -> Column:
+    """Character references of URL characters as characters; `&` comes last, so what it uncovers is not read again."""
+    for c in "/:?=#.-_%+,;@~&":
+        names = "|amp" if c == "&" else ""
+        text = F.regexp_replace(text, rf"(?i)&(?:#0*+{ord(c)}|#x0*+{ord(c):x}{names});", c)
+    return text
 
 
 def _base_targets(html: Column) -> Column:
     """What the first <base href> of a page names, as an array of at most one."""
     tags = F.regexp_extract_all(html, F.lit(r"(?i)<base\b[^>]*+"), F.lit(0))
     hrefs = F.transform(tags, lambda t: F.regexp_extract(t, _attribute("href", r"""([^"'\s>]+)"""), 1))
-    return F.slice(F.filter(hrefs, lambda u: u != ""), 1, 1)
+    return F.slice(F.filter(F.transform(hrefs, _decoded), lambda u: u != ""), 1, 1)
 
 
 def resolved(targets: Column, base: Column) -> Column:

@@ -280,3 +280,56 @@ def test_stages_take_odd_rows(spark, odd_rows):
     docs = docs_frame(spark, odd_rows).select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, docs, DATA).collect()
+
+
+# --- rules and links of url_filter, columns of mixed -----------------------------------------------------------
+
+
+def test_a_thousand_rules_plan_and_match(spark):
+    import random
+    import time
+
+    rng = random.Random(8)
+    hosts = [f"h{i}.{d}" for i in range(120) for d in ("com", "net")] + ["com", "net", "a.b.com"]
+    rules = [(rng.choice(["allow", "block"]), f"{rng.choice(hosts)}/{rng.choice(['', 'a', 'a/b', 'en/', 'fr/x'])}") for _ in range(1000)]
+    urls = [f"http://{rng.choice(['', 'www.', 'x.y.', 'no'])}{rng.choice(hosts)}{rng.choice(['', '/', '/a', '/a/b/c', '/en/1', '/fr/x'])}" for _ in range(400)]
+    start = time.perf_counter()
+    rows = url_filter.judge(page(spark, [(i, u, None) for i, u in enumerate(urls)]), rules=rules).collect()
+    took = time.perf_counter() - start
+
+    def want(host, path):
+        best = None
+        for verdict, rule in rules:
+            name, _, rest = rule.partition("/")
+            if (host == name or host.endswith("." + name)) and path.startswith("/" + rest) and (best is None or len(rule) > len(best[1])):
+                best = (verdict, rule)
+        return best
+
+    hit = 0
+    for r in rows:
+        best = want(r.host, r.path)
+        assert r.rule == (best and best[1]) and (best is None or r.verdict == best[0])
+        hit += best is not None
+    assert hit > 100 and took < 60  # a plan that grows with the rules takes far longer
+
+
+def test_no_rules(spark):
+    got = url_filter.judge(page(spark, [(1, "http://a.net/es/", None)]), rules=()).first()
+    assert got.rule is None and got.verdict == "allow"
+
+
+@pytest.mark.parametrize("link", [
+    '<link rel="canonical" href="http://b.net/es/p?x=1&amp;y=2">', '<link href="http:&#47;&#x2F;b.net/es/p?x=1&#38;y=2" rel="nofollow canonical">',
+    "<LINK REL='canonical shortlink' HREF=http://b.net/es/p?x=1&amp;y=2>", "<link rel=canonical href='http://b.net/es/p?x=1&#x26;y=2'>",
+])
+def test_encoded_links_and_several_rel_words(spark, link):
+    got = url_filter.judge(page(spark, [(1, "http://q.org/1", link), (2, "http://b.net/es/p?x=1&y=2", None), (3, "http://q.org/3", link.lower().replace("canonical", "canonicals"))]))
+    assert {r.page_id: r.verdict for r in got.collect()} == {1: "block", 2: "block", 3: "allow"}
+
+
+def test_mixed_keeps_clashing_columns(spark):
+    rows = [(i, f"word {i} more words", "s", 5, 2.0, "t") for i in range(6)] + [(0, "word 0 more words", "s", 4, 1.0, "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int, taken double, input_size string")
+    got = mixing.mixed(docs)
+    assert got.columns == ["doc_id", "text", "source", "input_input_size", "input_taken", "input_size", "size", "source_size", "target", "taken"]
+    assert got.count() == 6 and {(r.input_input_size, r.input_taken) for r in got.where("doc_id = 0").collect()} == {(4, 1.0)}
