@@ -6,8 +6,10 @@ and the item lie against each other; there the two are compared word by word, an
 different word costs as much as three equal ones gain, is an overlap if it is long enough. So a copied passage is found
 although single words in it were replaced.
 
-All of it is built-in expressions. Seeds are exploded and probed inside one generated stage, so positions are never
-shuffled; what is shuffled is one row per document, item and alignment that has a hit.
+All of it is built-in expressions. Items with equal words are one item until the end, known by a digest of the words,
+so a null or repeated id loses nothing. Seeds are exploded and probed inside one generated stage, so positions are never
+shuffled; what is shuffled is one row per document, item and alignment that has a hit. Beyond a number of benchmark
+seeds the positions are shuffled after all, as key, place and seed only; the words of documents with hits are joined later.
 """
 
 from __future__ import annotations
@@ -58,39 +60,46 @@ def overlaps(
     masks: Sequence[str] = MASKS,
     min_words: int = MIN_WORDS,
     broadcast_seeds: int = BROADCAST_SEEDS,
+    least_item: int = SHORTEST,
 ) -> DataFrame:
     """One row for each document, item and alignment that overlap.
 
     Columns: row key, id, item_id, doc_start and item_start (word numbers), n_words (length of the overlap), n_equal
     (equal words in it), item_words. An overlap has at least `min_words` equal words, or all words of a shorter item.
-    Items of fewer than four words and null or empty texts match nothing. Items with equal texts are reported each,
-    equal documents share a key and are reported once. Empty tables give no rows; other columns are not read.
+    Items of fewer than `least_item` words and null or empty texts match nothing: such an item is a phrase of everyday
+    text. Items with equal texts are reported each, an id with several texts once for each text, items without an id
+    with a null one; equal documents share a key and are reported once. Empty tables give no rows; other columns are
+    not read.
     """
     items = benchmark.select(F.col(f"`{item_col}`").alias("item_id"), words(F.col(f"`{item_text_col}`")).alias("hashes"))
-    items = stored(items.withColumn("size", F.size("hashes")).where(F.col("size") >= SHORTEST))
+    items = items.withColumn("size", F.size("hashes")).where(F.col("size") >= least_item)
+    items = stored(items.withColumn("print", F.md5(F.array_join(F.transform("hashes", lambda h: h.cast("string")), " "))))
+    texts = items.select("print", "hashes", "size").dropDuplicates(["print"])
     shortest = min(len(m) for m in masks)
     # an item too short for a mask is looked for as a whole: one full mask per such length, at most `shortest` of them
     short = [r.size for r in items.where(F.col("size") < shortest).select("size").distinct().collect()]
     every = [*masks, *("1" * n for n in sorted(short))]
-    index = _seeded(items, every).select("seed", "item_id", F.col("at").alias("item_at"), F.col("size").alias("item_words"))
-    index = stored(index.distinct())
-    if index.count() <= broadcast_seeds:
-        index = F.broadcast(index)
+    index = stored(_seeded(texts, every).select("seed", "print", F.col("at").alias("item_at"), F.col("size").alias("item_words")).distinct())
     rows = docs.select(row_key(id_col, text_col).alias(KEY), F.col(f"`{id_col}`").alias("id"), words(F.col(f"`{text_col}`")).alias("hashes"))
     rows = rows.withColumn("size", F.size("hashes")).where("hashes is not null")
-    hits = _seeded(rows, every).join(index, "seed")
-    # place of the item's first word, and the document's words from there on; 0 stands for words outside
-    start = F.col("at") - F.col("item_at")
-    front = F.greatest(-start, F.lit(0))
-    inner = F.slice("hashes", F.greatest(start, F.lit(0)) + 1, F.greatest(F.col("item_words") - front, F.lit(0)))
+    start = (F.col("at") - F.col("item_at")).alias("start")
+    if index.count() <= broadcast_seeds:
+        hits = _seeded(rows, every).join(F.broadcast(index), "seed").select(KEY, "id", "hashes", "print", "item_words", start)
+    else:
+        narrow = _seeded(rows.select(KEY, "hashes", "size"), every).select(KEY, "at", "seed")
+        placed = narrow.join(index, "seed").select(KEY, "print", "item_words", start).distinct()
+        hits = placed.join(rows.select(KEY, "id", "hashes"), KEY)
+    # the document's words from the place of the item's first word on; 0 stands for words outside
+    front = F.greatest(-F.col("start"), F.lit(0))
+    inner = F.slice("hashes", F.greatest(F.col("start"), F.lit(0)) + 1, F.greatest(F.col("item_words") - front, F.lit(0)))
     lying = F.when(front > 0, F.concat(F.array_repeat(F.lit(0).cast("long"), front), inner)).otherwise(inner)
-    hits = hits.select(KEY, "id", "item_id", start.alias("start"), lying.alias("lying"))
-    aligned = hits.groupBy(KEY, "item_id", "start").agg(F.first("id").alias("id"), F.first("lying").alias("lying"))
-    both = aligned.join(items.select("item_id", F.col("hashes").alias("item"), "size").distinct(), "item_id")
+    hits = hits.select(KEY, "id", "print", "start", lying.alias("lying"))
+    aligned = hits.groupBy(KEY, "print", "start").agg(F.first("id").alias("id"), F.first("lying").alias("lying"))
+    both = aligned.join(texts.withColumnRenamed("hashes", "item"), "print")
     equal = F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda i: F.coalesce(F.get("lying", i) == F.get("item", i), F.lit(False)))
     best = both.withColumn("best", _segment(equal))
     long_enough = F.col("best.equal") >= F.least(F.lit(min_words), F.col("size"))
-    found = best.where(long_enough)
+    found = best.where(long_enough).join(items.select("item_id", "print").distinct(), "print")
     return found.select(
         KEY, F.col("id").alias(id_col), "item_id", (F.col("start") + F.col("best.from")).cast("long").alias("doc_start"),
         F.col("best.from").cast("long").alias("item_start"), (F.col("best.to") - F.col("best.from")).cast("long").alias("n_words"),
@@ -123,7 +132,10 @@ def _segment(equal: Column) -> Column:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:  # noqa: ANN003
-    """One row per document and item, with the best alignment: most equal words, then the first."""
+    """One row per document and item id, with the best alignment: most equal words, then the first.
+
+    Items that share an id, or have none, count as one item with several texts.
+    """
     found = overlaps(docs, benchmark, id_col, text_col, **options)
     order = F.struct(F.col("n_equal"), -F.col("doc_start"), -F.col("item_start"), F.col("n_words"), F.col("item_words"))
     best = found.groupBy(KEY, "item_id").agg(F.first(id_col).alias(id_col), F.max(order).alias("best"))

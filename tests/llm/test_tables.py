@@ -188,6 +188,37 @@ def test_clean_documents_stay(spark, bound):
     assert {r.doc_id for r in docs.select("doc_id").collect()} - {r.doc_id for r in out.collect()} == dirty
 
 
+@pytest.mark.parametrize("bound", [0, 500_000])
+def test_items_without_an_id_or_with_a_repeated_one(spark, bound):
+    rng = random.Random(18)
+    a, b, c = (sentence(rng, n) for n in (20, 35, 5))
+    items = [(None, a), (7, b), (7, c), (8, a), (None, "!!"), (None, None)]
+    docs = [(1, f"x {a} y"), (2, f"q {b}"), (3, f"{c} z"), (4, "nothing of them"), (4, "nothing of them"), (5, f"{b} and {c}"), (None, a)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = docs_frame(spark, docs)
+    got = {(r.doc_id, r.item_id, r.doc_start, r.item_words) for r in decontaminate.overlaps(frame, bench, broadcast_seeds=bound).collect()}
+    assert got == {(1, None, 1, 20), (1, 8, 1, 20), (2, 7, 1, 35), (3, 7, 0, 5), (5, 7, 0, 35), (5, 7, 36, 5), (None, None, 0, 20), (None, 8, 0, 20)}
+    best = {(r.doc_id, r.item_id): r.n_equal for r in decontaminate.contaminated(frame, bench, broadcast_seeds=bound).collect()}
+    assert best == {(1, None): 20, (1, 8): 20, (2, 7): 35, (3, 7): 5, (5, 7): 35, (None, None): 20, (None, 8): 20}
+    assert [r.doc_id for r in decontaminate.clean(frame, bench, broadcast_seeds=bound).collect()] == [4, 4]
+    assert decontaminate.overlaps(docs_frame(spark, [(1, "to be or")]), spark.createDataFrame([(1, "be or")], bench.schema), least_item=2).count() == 1
+
+
+def test_seeds_find_what_a_full_comparison_finds(spark):
+    """Recall against comparing every alignment: passages of 20 to 40 words with one word in eight replaced."""
+    rng = random.Random(28)
+    items = [(i, " ".join(f"w{rng.randrange(4000)}" for _ in range(rng.randrange(20, 41)))) for i in range(60)]
+    docs = []
+    for i, text in items:
+        w = [f"odd{i}" if rng.random() < 1 / 8 else x for x in text.split()]
+        docs.append((i, f"{sentence(rng, 6)} {' '.join(w)} {sentence(rng, 6)}"))
+    every = brute_hits(docs, items, ("1",))
+    want = {(d, i) for d, i, _ in every}
+    found = decontaminate.contaminated(docs_frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert got <= want and len(got) >= 0.9 * len(want) > 40
+
+
 def test_decontamination_of_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = docs_frame(spark, [(1, "a b c d e f g h i j k l m n")])
