@@ -46,8 +46,9 @@ PLACEHOLDERS = re.compile(r"(?i)example|sample|change.?me|placeholder|your.?(pas
 
 _LEAD = r"(?:(?:export|set|setenv|let|const|var|val|final|static|public|private|protected|def|my|local|readonly|string|str|char)\s+){0,4}"
 _NAME = r"[A-Za-z_$@][A-Za-z0-9_$]*(?:[.\-][A-Za-z_][A-Za-z0-9_]*)*"
-#: A pair on one line; what follows the operator is read by _TERM.
-_PAIR = re.compile(rf"""(?:^|(?<=[\s;,{{(\[&?]))(?i:{_LEAD})(?:"(?P<q>[^"\n]{{1,80}})"|'(?P<s>[^'\n]{{1,80}})'|(?P<n>{_NAME}))(?:\[["'](?P<k>[^"'\]\n]{{1,80}})["']\]|\[[^\]\n]{{0,40}}\])?[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*""", re.M)
+#: A pair on one line; what follows the operator is read by _TERM. Names and subscripts have any length: what they
+#: scan ends at the next quote or bracket, so no character is read twice for the same kind of opening.
+_PAIR = re.compile(rf"""(?:^|(?<=[\s;,{{(\[&?]))(?i:{_LEAD})(?:"(?P<q>[^"\n]++)"|'(?P<s>[^'\n]++)'|(?P<n>{_NAME}))(?:\[["'](?P<k>[^"'\]\n]++)["']\]|\[[^\[\]\n]*+\])?[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*""", re.M)
 _TERM = re.compile(rf"""(?:[bru]{{0,2}})"(?P<d>(?:[^"\\\n]|\\.)*)"|(?:[bru]{{0,2}})'(?P<s>(?:[^'\\\n]|\\.)*)'|`(?P<b>[^`\n]*)`|(?P<n>{_NAME})(?![\w(])|(?P<v>[^\s;,"'`)\]}}]+)""")
 _JOIN = re.compile(r"[ \t]*(?:\+|\.(?=[\s\"'A-Za-z_$])|&|\|\|)?[ \t]*")
 #: What may follow with nothing between.
