@@ -3,7 +3,9 @@
 Every text has a few statistics. From labelled rows a list of rules is learned by sequential covering: a rule is a
 conjunction of thresholds, grown one condition at a time by FOIL's information gain on two thirds of the labelled rows
 and pruned on the rest while that does not lower its precision; the rows it covers are set aside and the next rule is
-learned. The result is one ordered Spark expression, so applying it needs no join, no shuffle and no Python.
+learned. A rule under the limits of coverage or precision is given up and growth starts from the next best feature;
+covering ends when no start is left, or too few bad rows for any rule. The result is one ordered Spark expression, so
+applying it needs no join, no shuffle and no Python.
 
 Learning looks at bins of each statistic only (quantiles of the labelled rows); every step is one small aggregation,
 and a handful of counts per statistic reaches the driver, whatever the number of labelled rows.
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from orderloom.session import stored
 
-BINS, MOST_RULES, MOST_CONDITIONS, LEAST_COVER, LEAST_PRECISION = 24, 8, 4, 5, 0.9
+BINS, LEAST_COVER, LEAST_PRECISION = 24, 5, 0.9
 _SPACE = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
 
@@ -144,16 +146,22 @@ def _counts(rows: DataFrame, at: Sequence[str]) -> dict[str, dict[int, tuple[int
     return out
 
 
-def _grow(rows: DataFrame, cuts: dict[str, list[float]], most: int) -> Rule:
+def _grow(rows: DataFrame, cuts: dict[str, list[float]], barred: set[str]) -> Rule:
+    """The rule that gains most at every step until it covers no good row; its first feature is none of `barred`.
+
+    Every condition leaves fewer rows, so growth ends.
+    """
     rule = Rule()
     held = rows
-    for _ in range(most):
+    while True:
         counts = _counts(held, list(cuts))
         good, bad = (sum(v[i] for v in next(iter(counts.values()), {}).values()) for i in (0, 1))
         if not bad or not good:
             break
         before, best = math.log2(bad / (good + bad)), (0.0, None)
         for f, values in cuts.items():
+            if not rule.conditions and f in barred:
+                continue
             low_good = low_bad = 0
             for b, value in enumerate(values):
                 g, d = counts.get(f, {}).get(b, (0, 0))
@@ -190,15 +198,14 @@ def learn(
     bad_col: str,
     features: Sequence[str] = FEATURES,
     bins: int = BINS,
-    most_rules: int = MOST_RULES,
-    most_conditions: int = MOST_CONDITIONS,
     least_cover: int = LEAST_COVER,
     least_precision: float = LEAST_PRECISION,
 ) -> DecisionList:
     """A decision list for rows where `bad_col` is true, from labelled statistics. Null labels are left out.
 
     Rows with equal statistics are counted first. Growing and pruning rows are told apart by a hash of the statistics
-    with the label. Without labelled rows of both kinds the list is empty.
+    with the label. Without labelled rows of both kinds the list is empty. A rule must cover `least_cover` pruning rows,
+    the share `least_precision` of them bad; there is no other limit to the number of rules or conditions.
     """
     label = F.col(bad_col).cast("int")
     rows = stats.where(label.isNotNull()).groupBy(*features).agg(F.sum(1 - label).alias("good"), F.sum(label).alias("bad"))
@@ -210,16 +217,19 @@ def learn(
     rows = rows.select("*", *[_bin(F.col(f), cuts[f]).alias(f"bin_{f}") for f in cuts])
     rows = stored(rows.withColumn("prune", F.pmod(F.xxhash64(*features), F.lit(3)) == 0))
     out: list[Rule] = []
-    left = rows
-    for _ in range(most_rules):
-        rule = _grow(left.where(~F.col("prune")), cuts, most_conditions)
+    left, barred = rows, set()
+    bad_left = rows.where("prune").agg(F.sum("bad")).first()[0] or 0
+    while bad_left >= least_precision * least_cover:
+        rule = _grow(left.where(~F.col("prune")), cuts, barred)
         if not rule.conditions:
             break
+        start = rule.conditions[0].feature
         rule, (good, bad) = _pruned(rule, left.where("prune"))
         if bad + good < least_cover or bad < least_precision * (bad + good):
-            break
+            barred.add(start)
+            continue
         out.append(rule)
-        left = left.where(~rule.column())
+        left, barred, bad_left = left.where(~rule.column()), set(), bad_left - bad
     return DecisionList(out)
 
 

@@ -157,6 +157,9 @@ def test_flow(text, found):
         ('private_access: "Zx81kQ93mmPw"', ["Zx81kQ93mmPw"]),
         ('password = "abc" "Zx81kQ93mmPw"', ["Zx81kQ93mmPw"]),
         ("$tail='Zx81kQ93mmPw'\npassword=\"abc\"$tail", ["Zx81kQ93mmPw"]),
+        ('{"' + "a" * 85 + '_credentials": "Zx81kQ93mmPw"}', ["Zx81kQ93mmPw"]),
+        ('vault["' + "k" * 120 + '_token"] = "Zx81kQ93mmPw"', ["Zx81kQ93mmPw"]),
+        ("api_key[" + "i" * 70 + '] = "Zx81kQ93mmPw"', ["Zx81kQ93mmPw"]),
         ('{"password": "abc" "title": "Zx81kQ93mmPw"}', []),
         ('PASSWORD="abc" TITLE="Zx81kQ93mmPw"', []),
     ],
@@ -171,6 +174,11 @@ def test_long_chains_are_linear():
     assert len(secret_scan.flow_spans(text)) == 3999
 
 
+@pytest.mark.parametrize("piece", [" a[", ' "', ' "\'', '["', ' a["', " 'x"])
+def test_openings_without_an_end_are_linear(piece):
+    assert secret_scan.flow_spans("token = " + piece * 60_000) == []
+
+
 def test_redact(spark):
     docs = docs_frame(spark, [(1, 'x token = "1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae" y'), (2, None), (3, "clean"), (3, "clean")])
     out = secret_scan.redact(docs)
@@ -275,12 +283,39 @@ def test_statistics_match_brute_force(spark, documents):
 def test_rules_separate_labels(spark, documents):
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
     out, rules = quality_rules.judge(documents, labels)
-    assert 1 <= len(rules.rules) <= quality_rules.MOST_RULES and "1. " in str(rules)
+    assert len(rules.rules) >= 1 and "1. " in str(rules)
     got = out.join(labels, "doc_id").groupBy("quality").agg(F.avg((F.col("rule") > 0).cast("double")).alias("dropped")).collect()
     share = {r.quality: r.dropped for r in got}
     assert share[0] > 0.9 and share[1] < 0.03
 
 
+def test_covering_goes_on_to_the_end(spark):
+    """Twelve kinds of bad rows, each a narrow range of one feature: more than a fixed number of rules would reach."""
+    rows = []
+    for i in range(2400):
+        kind = i % 24
+        rows.append((float(kind), float(i // 24 % 7), kind % 2 == 1))
+    stats = spark.createDataFrame([(a, b + i / 1e6, c) for i, (a, b, c) in enumerate(rows)], "kind double, noise double, bad boolean")
+    rules = quality_rules.learn(stats, "bad", features=("kind", "noise"))
+    got = stats.groupBy("bad").agg(F.avg((rules.column() > 0).cast("double")).alias("hit")).collect()
+    share = {r.bad: r.hit for r in got}
+    assert len(rules.rules) > 8 and share[True] == 1.0 and share[False] == 0.0
+
+
+def test_every_start_is_tried_after_failures(spark, monkeypatch):
+    starts = []
+
+    def refused(rule, rows):
+        starts.append(rule.conditions[0].feature)
+        return rule, (1, 0)
+
+    monkeypatch.setattr(quality_rules, "_pruned", refused)
+    rows = [(float(i % 5), float(i % 7), float(i), i % 5 == 0) for i in range(700)]
+    stats = spark.createDataFrame(rows, "a double, b double, c double, bad boolean")
+    assert quality_rules.learn(stats, "bad", features=("a", "b", "c")).rules == []
+    assert starts[0] == "a" and sorted(set(starts)) == sorted(starts) and len(starts) >= 2
+
+
 def test_rules_without_labels_keep_all(spark):
     docs = docs_frame(spark, [(1, "a b c"), (2, None), (2, None), (None, "x")])
     for labels in ([], [(1, 1), (1, 1), (None, 0)], [(1, 0)], [(99, 0)]):
