@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -249,6 +250,82 @@ def test_contexts_find_unseen_identifiers(spark):
     assert not any(x[0] == "context" for i in range(60) for x in out[2000 + i])
 
 
+@pytest.mark.parametrize(
+    ("kind", "known", "unseen"),
+    [
+        ("email", "anna.lee{}@mail.example", "anna.lee at mail.example@"),
+        ("ip", "10.0.{}.7", "10.0.900.7"),
+        ("card", "spaced", "4111 1111 1111 1112"),
+        ("phone", "+49 30 12345{}", "030-12345-99"),
+    ],
+)
+def test_five_seeds_find_one_unseen(spark, kind, known, unseen):
+    rng = random.Random(14)
+
+    def seed(i):
+        card = brute_luhn_card(rng)
+        return " ".join(card[k : k + 4] for k in range(0, 16, 4)) if known == "spaced" else known.format(100 + i)
+
+    docs = [(i, f"{sentence(rng, 5)} you may reach {seed(i)} at any hour {sentence(rng, 3)}") for i in range(5)]
+    docs.append((50, f"{sentence(rng, 4)} you may reach {unseen} at any hour"))
+    docs += [(60 + i, f"{sentence(rng, 4)} part number 55{i}-20-{i}77 in stock") for i in range(9)]
+    out = {r.doc_id: [tuple(x) for x in r.found] for r in pii.extract(docs_frame(spark, docs)).collect()}
+    text = dict(docs)
+    assert all([k for k, _, _ in out[i]] == [kind] for i in range(5))
+    (got,) = [text[50][a:b] for k, a, b in out[50] if k == "context"]
+    assert got == (unseen if kind != "email" else "mail.example@")
+    assert all(out[60 + i] == [] for i in range(9))
+    four = docs_frame(spark, docs[1:])
+    assert [r.found for r in pii.extract(four).where("doc_id = 50").collect()] == [[]]
+
+
+def test_rounds_go_on_until_nothing_is_added(spark):
+    """A chain of six contexts: 20 seeds of each are too few for 10 unseen units, enough once 5 are known from the context before."""
+    docs, new = [], []
+    for link in range(6):
+        units = [f"+49 30 7{link}{i:05}" for i in range(20)] + [f"{link}-55{i:04}-{link}" for i in range(5)]
+        units += [f"{link - 1}-55{i:04}-{link - 1}" for i in range(5)] if link else []
+        new += range(len(docs) + 20, len(docs) + len(units))
+        docs += [(len(docs) + i, f"x{link}a x{link}b {u} y{link}a y{link}b") for i, u in enumerate(units)]
+    found = {r.doc_id: [x.kind for x in r.found] for r in pii.extract(docs_frame(spark, docs)).collect()}
+    assert all(found[i] == (["context"] if i in new else ["phone"]) for i in range(len(docs))) and len(new) == 55
+    alone = docs_frame(spark, [d for d in docs if d[1].startswith("x5a")])
+    assert pii.extract(alone).where(F.exists("found", lambda x: x["kind"] == "context")).count() == 0
+
+
+def test_planted_identifiers_are_found(spark):
+    """Recall of unseen identifiers: each of 20 contexts has 30 known and 8 unseen ones beside 400 plain numbers."""
+    rng = random.Random(24)
+    docs, unseen = [], {}
+    for c in range(20):
+        lead, tail = f"lead{c} word{c}", f"tail{c} end{c}"
+        docs += [(c * 100 + i, f"{sentence(rng, 6)} {lead} +49 {rng.randrange(10**9, 10**10)} {tail} {sentence(rng, 6)}") for i in range(30)]
+        for i in range(8):
+            value = f"{rng.randrange(10**3, 10**4)}/{rng.randrange(10**5, 10**6)}"
+            docs.append((c * 100 + 50 + i, f"{sentence(rng, 6)} {lead} {value} {tail} {sentence(rng, 6)}"))
+            unseen[c * 100 + 50 + i] = value
+    docs += [(5000 + i, f"{sentence(rng, 8)} {rng.randrange(10**5, 10**7)} {sentence(rng, 8)}") for i in range(400)]
+    text = dict(docs)
+    got = {(r.doc_id, text[r.doc_id][x.start : x.end]) for r in pii.extract(docs_frame(spark, docs)).collect() for x in r.found if x.kind == "context"}
+    assert len(got & set(unseen.items())) >= 0.9 * len(unseen)
+    assert {i for i, _ in got} <= set(unseen)
+
+
+def test_a_text_of_many_addresses(spark):
+    text = " ".join(f"user{i}@mail{i % 77}.example" for i in range(100_000))
+    began = time.monotonic()
+    (row,) = pii.digest(pii.extract(docs_frame(spark, [(1, text)]))).collect()
+    assert row.n_email == 100_000 and row.base_sha256 == hashlib.sha256(brute_pii(text).encode()).hexdigest()
+    assert time.monotonic() - began < 60
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 9, 10, 50])
+def test_places_of_matches(spark, n):
+    text = " ä ".join(f"a{i}@b.cd" for i in range(n))
+    (row,) = pii.extract(docs_frame(spark, [(1, text)])).collect()
+    assert [text[x.start : x.end] for x in row.found if x.kind == "email"] == [f"a{i}@b.cd" for i in range(n)]
+
+
 def test_copies_are_no_evidence(spark):
     rng = random.Random(4)
     card = brute_luhn_card(rng)
