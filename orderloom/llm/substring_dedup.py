@@ -10,6 +10,10 @@ Equal texts are counted first and only one of them goes on. Shuffled data: the t
 exchange), three to four bytes per rolling window (repeats inside a task are merged), one reference per block, and for
 windows around hit blocks a 96-bit hash with a reference. Nothing is formed per pair of texts, so thousands of copies
 cost as much as as many different texts.
+
+Hashes meet in buckets, each a group of one task. What occurs twice within a batch of FLUSH windows is known to be
+repeated there and then: its places are dealt by document, and its bucket gets the hash alone, once. So a passage that a
+third of all different texts share adds at most one entry per batch to a group, however many texts hold it.
 """
 
 from __future__ import annotations
@@ -38,6 +42,10 @@ from orderloom.llm.texthash import (
 SIZE, BLOCK = 35, 18
 FLUSH = 2_000_000
 _LOW = np.uint64(2**SET_BITS - 1)
+_PROBED = "bucket long, once binary, often binary, block binary, row binary, number binary, sure_row binary, sure_number binary"
+_GROWN = "bucket long, " + ", ".join(
+    f"{c} binary" for c in ("h1", "h2", "many1", "many2", "rows", "lengths", "steps", "sure_rows", "sure_lengths", "sure_steps")
+)
 
 
 def _by_bucket(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,13 +55,22 @@ def _by_bucket(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray
     return order, cuts(bucket[order], buckets)
 
 
+def _by_document(key: np.ndarray, place: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and places ordered by a bucket of the document, and where buckets begin."""
+    order, edges = _by_bucket(key.astype(np.int64).view(np.uint64), buckets)
+    return key[order], place[order], edges
+
+
 def _probe_batch(probes: list, blocks: list, keys: list, numbers: list, buckets: int) -> pa.RecordBatch:
     hashes, count = np.unique(np.concatenate(probes), return_counts=True)  # sorted, so by bucket
     edges = cuts(bucket_of(hashes, buckets), buckets)
     block, key, number = np.concatenate(blocks), np.concatenate(keys), np.concatenate(numbers)
+    sure = count[np.searchsorted(hashes, block)] > 1  # a block is a window of its batch, too
+    sure_key, sure_number, sure_at = _by_document(key[sure], number[sure], buckets)
+    block, key, number = block[~sure], key[~sure], number[~sure]
     order, at = _by_bucket(block, buckets)
     block, key, number = block[order] & _LOW, key[order], number[order]
-    full = [i for i in range(buckets) if edges[i + 1] > edges[i]]
+    full = [i for i in range(buckets) if edges[i + 1] > edges[i] or sure_at[i + 1] > sure_at[i]]
     once, often = [], []
     for i in full:
         part, n = hashes[edges[i] : edges[i + 1]] & _LOW, count[edges[i] : edges[i + 1]]
@@ -67,6 +84,8 @@ def _probe_batch(probes: list, blocks: list, keys: list, numbers: list, buckets:
             "block": pa.array([packed(block[at[i] : at[i + 1]], 5) for i in full], pa.binary()),
             "row": pa.array([key[at[i] : at[i + 1]].tobytes() for i in full], pa.binary()),
             "number": pa.array([number[at[i] : at[i + 1]].tobytes() for i in full], pa.binary()),
+            "sure_row": pa.array([sure_key[sure_at[i] : sure_at[i + 1]].tobytes() for i in full], pa.binary()),
+            "sure_number": pa.array([sure_number[sure_at[i] : sure_at[i + 1]].tobytes() for i in full], pa.binary()),
         }
     )
 
@@ -99,14 +118,15 @@ def _probe(block: int, buckets: int):
 
 
 def _hit(table: pa.Table) -> pa.Table:
-    """Reference blocks that two probes hit, in one bucket."""
+    """Reference blocks that two probes hit: those of one bucket of hashes, and those that their batch has settled."""
     once = np.sort(np.concatenate([unpacked_sorted(x) for x in table["once"].to_pylist()]))
     often = np.concatenate([unpacked_sorted(x) for x in table["often"].to_pylist()])
     # what is seen once by two tasks, or often by any; a value seen once here and often there is in `often` already
     often = np.union1d(often, once[1:][once[1:] == once[:-1]])
     block = unpacked(b"".join(table["block"].to_pylist()), 5)
     found = np.isin(block, often)
-    row, number = joined(table["row"], "<i8")[found], joined(table["number"], "<i4")[found]
+    row = np.concatenate([joined(table["row"], "<i8")[found], joined(table["sure_row"], "<i8")])
+    number = np.concatenate([joined(table["number"], "<i4")[found], joined(table["sure_number"], "<i4")])
     order = np.lexsort((number, row))
     row, number = row[order], number[order]
     rows, first = np.unique(row, return_index=True)
@@ -127,29 +147,48 @@ def _grown(w: Words, lists: list, block: int, size: int) -> np.ndarray:
     return np.flatnonzero((np.cumsum(here)[:-1] > 0) & (w.room() >= size))
 
 
+def _steps(key: np.ndarray, place: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Places of rows that stand together: each row once, its number of places, and the places as steps."""
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    lengths = np.diff(np.append(first, len(key)))
+    return key[first].tobytes(), lengths.astype("<u4").tobytes(), np.diff(place, prepend=np.uint32(0)).astype("<u4").tobytes()
+
+
+def _places(table: pa.Table, prefix: str = "") -> tuple[np.ndarray, np.ndarray]:
+    """Keys and places as `_steps` has written them."""
+    key = np.repeat(joined(table[f"{prefix}rows"], "<i8"), joined(table[f"{prefix}lengths"], "<u4"))
+    each = [np.cumsum(np.frombuffer(x, "<u4"), dtype=np.uint32) for x in table[f"{prefix}steps"].to_pylist()]
+    return key, np.concatenate(each)
+
+
 def _window_batch(a: list, b: list, keys: list, places: list, buckets: int) -> pa.RecordBatch:
     h1, h2, key, place = (np.concatenate(x) for x in (a, b, keys, places))
-    order, edges = _by_bucket(h1, buckets)
+    h2 &= np.uint64(2**32 - 1)
+    order = np.lexsort((h2, h1))
+    s1, s2 = h1[order], h2[order]
+    first = np.flatnonzero(np.concatenate([[True], (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])]))
+    count = np.diff(np.append(first, len(order)))
+    sure = np.empty(len(order), bool)
+    sure[order] = np.repeat(count > 1, count)
+    many1, many2 = s1[first[count > 1]], s2[first[count > 1]]  # sorted, so by bucket
+    many_at = cuts(bucket_of(many1, buckets), buckets)
+    sure_key, sure_place, sure_at = _by_document(key[sure], place[sure], buckets)
+    h1, h2, key, place = h1[~sure], h2[~sure], key[~sure], place[~sure]
+    order, at = _by_bucket(h1, buckets)
     h1, h2, key, place = h1[order], h2[order], key[order], place[order]
-    full = [i for i in range(buckets) if edges[i + 1] > edges[i]]
-    rows_of, lengths, steps = [], [], []
-    for i in full:
-        # rows stand together: each row once with its number of windows, places as steps
-        part, at = key[edges[i] : edges[i + 1]], place[edges[i] : edges[i + 1]]
-        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        rows_of.append(part[first].tobytes())
-        lengths.append(np.diff(np.append(first, len(part))).astype("<u4").tobytes())
-        steps.append(np.diff(at, prepend=np.uint32(0)).astype("<u4").tobytes())
-    return pa.RecordBatch.from_pydict(
-        {
-            "bucket": pa.array(full, pa.int64()),
-            "h1": pa.array([h1[edges[i] : edges[i + 1]].tobytes() for i in full], pa.binary()),
-            "h2": pa.array([packed(h2[edges[i] : edges[i + 1]], 4) for i in full], pa.binary()),
-            "rows": pa.array(rows_of, pa.binary()),
-            "lengths": pa.array(lengths, pa.binary()),
-            "steps": pa.array(steps, pa.binary()),
-        }
-    )
+    full = [i for i in range(buckets) if any(x[i + 1] > x[i] for x in (at, many_at, sure_at))]
+    one = [_steps(key[at[i] : at[i + 1]], place[at[i] : at[i + 1]]) for i in full]
+    known = [_steps(sure_key[sure_at[i] : sure_at[i + 1]], sure_place[sure_at[i] : sure_at[i + 1]]) for i in full]
+    columns = {
+        "h1": [h1[at[i] : at[i + 1]].tobytes() for i in full],
+        "h2": [packed(h2[at[i] : at[i + 1]], 4) for i in full],
+        "many1": [many1[many_at[i] : many_at[i + 1]].tobytes() for i in full],
+        "many2": [packed(many2[many_at[i] : many_at[i + 1]], 4) for i in full],
+    }
+    for prefix, parts in (("", one), ("sure_", known)):
+        for n, name in enumerate(("rows", "lengths", "steps")):
+            columns[prefix + name] = [x[n] for x in parts]
+    return pa.RecordBatch.from_pydict({"bucket": pa.array(full, pa.int64())} | {c: pa.array(v, pa.binary()) for c, v in columns.items()})
 
 
 def _windows(block: int, size: int, buckets: int):
@@ -178,16 +217,18 @@ def _windows(block: int, size: int, buckets: int):
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """Windows of one bucket whose word sequence occurs more than once, by row."""
-    h1, h2 = joined(table["h1"], "<u8"), unpacked(b"".join(table["h2"].to_pylist()), 4)
-    key = np.repeat(joined(table["rows"], "<i8"), joined(table["lengths"], "<u4"))
-    place = np.concatenate([np.cumsum(np.frombuffer(x, "<u4"), dtype=np.uint32) for x in table["steps"].to_pylist()])
+    """Windows whose word sequence occurs more than once, by row: of one bucket of hashes, and those settled before."""
+    h1 = np.concatenate([joined(table["h1"], "<u8"), joined(table["many1"], "<u8")])
+    h2 = np.concatenate([unpacked(b"".join(table[c].to_pylist()), 4) for c in ("h2", "many2")])
+    key, place = _places(table)
     order = np.lexsort((h2, h1))
     same = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
     found = np.zeros(len(h1), bool)
     found[order[1:]] |= same
     found[order[:-1]] |= same
-    key, place = key[found], place[found]
+    found = found[: len(key)]  # the others are hashes whose places are settled
+    sure_key, sure_place = _places(table, "sure_")
+    key, place = np.concatenate([key[found], sure_key]), np.concatenate([place[found], sure_place])
     by = np.argsort(key, kind="stable")
     rows, first = np.unique(key[by], return_index=True)
     parts = [x.tobytes() for x in np.split(place[by], first[1:])] if len(rows) else []
@@ -249,11 +290,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     equal = copies(rows)
     # the same columns of `rows` in all three joins, so that Spark shuffles the texts once
     some = rows.join(equal, KEY, "left").select(KEY, "doc_id", "text", "copy")
-    probes = some.mapInArrow(_probe(block, buckets), "bucket long, once binary, often binary, block binary, row binary, number binary")
+    probes = some.mapInArrow(_probe(block, buckets), _PROBED)
     hits = probes.groupBy("bucket").applyInArrow(_hit, f"{KEY} long, numbers binary")
     hits = hits.groupBy(KEY).agg(F.collect_list("numbers").alias("numbers"))
     tried = rows.join(hits, KEY, "left").select(KEY, "doc_id", "text", "numbers")
-    grown = tried.mapInArrow(_windows(block, size, buckets), "bucket long, h1 binary, h2 binary, rows binary, lengths binary, steps binary")
+    grown = tried.mapInArrow(_windows(block, size, buckets), _GROWN)
     repeated = grown.groupBy("bucket").applyInArrow(_repeated, f"{KEY} long, places binary")
     repeated = repeated.groupBy(KEY).agg(F.collect_list("places").alias("places"))
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -7,12 +7,14 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from llm.conftest import docs_frame, sentence
-from orderloom.llm import jaccard_join, metric
+from orderloom.llm import jaccard_join, metric, substring_dedup
 from orderloom.llm.graph import components
 from orderloom.llm.substring_dedup import remove_repeats
 from orderloom.llm.texthash import packed_sorted, unpacked_sorted
@@ -54,6 +56,47 @@ def test_repeat_spans_are_maximal(spark):
     assert got == {1: [(40, 90)], 2: [(1, 51)]}
 
 
+@pytest.mark.parametrize("flush", [1, 400, 2_000_000])
+def test_repeats_do_not_depend_on_where_batches_end(monkeypatch, flush):
+    """One line in every text, the two steps run as a task would: each batch is settled, then all batches meet."""
+    monkeypatch.setattr(substring_dedup, "FLUSH", flush)
+    monkeypatch.setattr("orderloom.llm.texthash.CHUNK_BYTES", 500)
+    rng, size, block, buckets = random.Random(11), 7, 4, 3
+    line = sentence(rng, 12)
+    rows = [(i * 2**58 - 2**62, f"{sentence(rng, rng.randrange(0, 9))} {line if i % 4 else ''} {sentence(rng, 8, ['a', 'b'])}") for i in range(30)]
+    keys, texts = pa.array([k for k, _ in rows], pa.int64()), pa.array([t for _, t in rows])
+    batch = pa.record_batch([keys, keys, texts, pa.array([None] * 30, pa.bool_())], ["k", "d", "t", "c"])
+    probed = pa.Table.from_batches(substring_dedup._probe(block, buckets)([batch]))
+    groups = [probed.filter(pc.equal(probed["bucket"], b)) for b in set(probed["bucket"].to_pylist())]
+    numbers = {}
+    for row in itertools.chain.from_iterable(substring_dedup._hit(g).to_pylist() for g in groups):
+        numbers.setdefault(row["__row_key"], []).append(row["numbers"])
+    batch = pa.record_batch([keys, keys, texts, pa.array([numbers.get(k) for k, _ in rows], pa.list_(pa.binary()))], ["k", "d", "t", "n"])
+    grown = pa.Table.from_batches(substring_dedup._windows(block, size, buckets)([batch]))
+    groups = [grown.filter(pc.equal(grown["bucket"], b)) for b in set(grown["bucket"].to_pylist())]
+    gone = {k: set() for k, _ in rows}
+    for row in itertools.chain.from_iterable(substring_dedup._repeated(g).to_pylist() for g in groups):
+        for at in np.frombuffer(row["places"], np.uint32).tolist():
+            gone[row["__row_key"]].update(range(at, at + size))
+    assert [(k, len(gone[k])) for k, _ in rows] == [(k, n) for k, _, n, _ in brute_repeats(rows, size)]
+
+
+def test_a_line_in_100000_different_texts_adds_one_entry_per_batch():
+    n, line = 100_000, np.uint64(0x123456789ABCDEF0)
+    rng = np.random.default_rng(3)
+    own = rng.integers(0, 2**64, n, dtype=np.uint64)
+    key = rng.integers(-(2**63), 2**63, n, dtype=np.int64)
+    hot = np.full(n, line)
+    probed = substring_dedup._probe_batch([own, hot], [hot], [key], [np.zeros(n, np.int32)], 100)
+    assert sum(len(x) for x in probed["row"].to_pylist()) == 0
+    assert sum(len(x) for x in probed["sure_row"].to_pylist()) == 8 * n
+    assert max(len(x) for x in probed["sure_row"].to_pylist()) < 8 * n / 100 * 1.3
+    grown = substring_dedup._window_batch([hot], [hot], [key], [np.zeros(n, np.uint32)], 100)
+    assert sum(len(x) for x in grown["h1"].to_pylist()) == 0
+    assert sum(len(x) for x in grown["many1"].to_pylist()) == 8
+    assert max(len(x) for x in grown["sure_steps"].to_pylist()) < 4 * n / 100 * 1.3
+
+
 def test_block_must_fit_twice(spark):
     with pytest.raises(ValueError, match="reference block"):
         remove_repeats(docs_frame(spark, [(1, "a")]), size=10, block=6)
