@@ -7,7 +7,8 @@ is above its own size goes round again, up to `max_repeats` times.
 
 Running sums are taken in fixed hash buckets of a source, with the sums of earlier buckets added, and the global order
 is found over equal slices of virtual time, each of which holds about the same number of words whatever the sources'
-sizes. So no task ever holds a whole source, and only the slice where the budget ends is sorted.
+sizes. So no task ever holds a whole source, and only the slice where the budget ends is sorted. Sources are a table, too:
+their targets are found by small aggregates, and join the sums of the buckets.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.rows import KEY, row_key
+from orderloom.operators.keys import with_row_index
 from orderloom.session import stored
 
 WEIGHTS, MAX_REPEATS = (1, 2, 3), 3
@@ -30,27 +32,30 @@ def words_in(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def targets(sizes: dict, weights: Sequence[float] = WEIGHTS, max_repeats: float = MAX_REPEATS, total: float | None = None) -> dict:
-    """Target words of each source: shares of `total` by weight, at most `max_repeats` times the source's size.
+def shares(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: float = MAX_REPEATS) -> DataFrame:
+    """(source, size) with the target words of each source: shares of all words by weight, at most `max_repeats` times its size.
 
     Sources are taken in code point order with null last, and weigh `weights` in turn. What a full source cannot take
-    is shared among the others by weight, again and again until no target is above its limit.
+    is shared among the others by weight, again and again until no target is above its limit. What one unit of weight
+    gets only grows from round to round, so a round is one aggregate of three numbers, and its full sources are those
+    whose limit the unit passes: sources stay a table however many there are. Sizes of 0 give targets of 0.
     """
-    names = sorted((s for s in sizes if s is not None), key=lambda s: s) + [s for s in sizes if s is None]
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
-    left = float(sum(sizes.values()) if total is None else total)
-    out: dict = {}
-    open_ = list(names)
-    while open_:
-        unit = left / sum(weight[s] for s in open_)
-        full = [s for s in open_ if weight[s] * unit > max_repeats * sizes[s]]
-        if not full:
-            return out | {s: weight[s] * unit for s in open_}
-        for s in full:
-            out[s] = float(max_repeats * sizes[s])
-            left -= out[s]
-        open_ = [s for s in open_ if s not in full]
-    return out
+    named = sizes.withColumn("unnamed", F.col("source").isNull())
+    place = with_row_index(named, ["unnamed", "source"]).drop("unnamed")
+    turn = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.col("_index") - 1, F.lit(len(weights))) + 1).cast("int"))
+    each = stored(place.select("source", "size", turn.alias("weight"), (F.col("size") * max_repeats).cast("double").alias("limit")))
+    all_ = each.agg(F.sum("size").alias("words"), F.sum("weight").alias("weight")).first()
+    unit, n_full = (float(all_.words) / all_.weight if all_.weight else 0.0), 0
+    while True:
+        full = F.col("weight") * F.lit(unit) > F.col("limit")
+        now = each.agg(
+            F.count_if(full).alias("n"),
+            F.sum(F.when(full, F.col("limit")).otherwise(0.0)).alias("limits"),
+            F.sum(F.when(full, 0.0).otherwise(F.col("weight"))).alias("open"),
+        ).first()
+        if now.n == n_full or not now.open:
+            return each.select("source", "size", F.when(full, F.col("limit")).otherwise(F.col("weight") * F.lit(unit)).alias("target"))
+        n_full, unit = now.n, max(unit, (float(all_.words) - now.limits) / now.open)
 
 
 def mix(
@@ -67,8 +72,7 @@ def mix(
     taken is size times the number of rounds in which the document falls before the cut. Null ids, texts and sources
     are values like others: a null text has size 0 and takes nothing, null is a source of its own. Equal rows are
     told apart only by their count, and share rounds: of n equal rows each is placed separately. Reruns agree, since
-    the order is a hash of the row. An empty table gives no rows. The number of sources must be small: one number for
-    each goes to the driver.
+    the order is a hash of the row. An empty table gives no rows. There may be any number of sources.
     """
     inner = [f"k{i}" for i in range(len(keep))]
     rows = docs.select(
@@ -77,15 +81,9 @@ def mix(
         *[F.col(f"`{c}`").alias(n) for c, n in zip(keep, inner, strict=True)],
     )
     rows = stored(rows)  # texts are read once; what follows needs a few numbers of each document
-    by_source = {r.source: r.size for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()}
-    goal = targets(by_source, weights, max_repeats)
-    budget = float(sum(by_source.values()))
-    spark = docs.sparkSession
-    kind = rows.schema["source"].dataType.simpleString()
-    plan = spark.createDataFrame(
-        [(s, float(goal[s]), int(by_source[s])) for s in by_source], f"source {kind}, target double, source_size long"
-    ).select(F.col("source").alias("of"), "target", "source_size")
-    placed = _placed(rows).join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
+    goal = stored(shares(rows.groupBy("source").agg(F.sum("size").alias("size")), weights, max_repeats))
+    budget = float(goal.agg(F.sum("size")).first()[0] or 0)
+    placed = _placed(rows, goal)
     # finish of each round, in parts of the target; documents without words take nothing
     rounds = F.transform(
         F.sequence(F.lit(0), F.lit(max_repeats - 1)),
@@ -105,13 +103,19 @@ def mix(
     )
 
 
-def _placed(rows: DataFrame) -> DataFrame:
-    """`upto`: words of the source up to and including the row, in the order of `h`."""
+def _placed(rows: DataFrame, goal: DataFrame) -> DataFrame:
+    """`upto`: words of the source up to and including the row, in the order of `h`; source_size and target from `goal`.
+
+    The sources' figures come along with the sums of their buckets, so a source that holds a third of all rows is
+    1,024 keys of the join with the rows.
+    """
     bucket = (F.conv(F.substring("h", 1, 8), 16, 10).cast("long") * BUCKETS / F.lit(2**32)).cast("int")
     rows = rows.withColumn("bucket", bucket)
     sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
     before = F.sum("in_bucket").over(Window.partitionBy("source").orderBy("bucket")) - F.col("in_bucket")
     sums = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), before.alias("before"))
+    goal = goal.select(F.col("source").alias("of"), F.col("size").alias("source_size"), "target")
+    sums = sums.join(goal, F.col("s").eqNullSafe(F.col("of"))).drop("of")
     inside = F.sum("size").over(Window.partitionBy("source", "bucket").orderBy("h", "size").rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.withColumn("inside", inside)
     joined = rows.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")), "left")

@@ -20,11 +20,40 @@ DATA = "/root/testdata/sf0.001"
 # --- mixing ---------------------------------------------------------------------------------------------------
 
 
-def test_targets_reshare_what_is_full():
-    got = mixing.targets({"b": 10, "a": 1000, None: 5, "c": 985})
+def plain_targets(sizes, weights=(1, 2, 3), most=3):
+    names = sorted(s for s in sizes if s is not None) + [s for s in sizes if s is None]
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    left, open_, out = float(sum(sizes.values())), list(names), {}
+    while open_:
+        unit = left / sum(weight[s] for s in open_)
+        full = [s for s in open_ if weight[s] * unit > most * sizes[s]]
+        if not full:
+            return out | {s: weight[s] * unit for s in open_}
+        out |= {s: float(most * sizes[s]) for s in full}
+        left -= sum(most * sizes[s] for s in full)
+        open_ = [s for s in open_ if s not in full]
+    return out
+
+
+def targets(spark, sizes, *options):
+    table = spark.createDataFrame(list(sizes.items()), "source string, size long")
+    return {r.source: r.target for r in mixing.shares(table, *options).collect()}
+
+
+def test_targets_reshare_what_is_full(spark):
+    got = targets(spark, {"b": 10, "a": 1000, None: 5, "c": 985})
     assert got["b"] == 30 and got[None] == 15
     assert got["a"] == pytest.approx(1955 / 4) and got["c"] == pytest.approx(3 * 1955 / 4)
-    assert mixing.targets({}) == {} and mixing.targets({"a": 0, "b": 0}) == {"a": 0.0, "b": 0.0}
+    assert targets(spark, {}) == {} and targets(spark, {"a": 0, "b": 0}) == {"a": 0.0, "b": 0.0}
+    assert targets(spark, {"a": 7, None: 3}, (1,), 0.5) == {"a": 3.5, None: 1.5}  # all full
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_targets_of_many_sources_match_plain_python(spark, seed):
+    rng = random.Random(seed)
+    sizes = {f"host{rng.randrange(10**6)}": int(10 ** rng.uniform(0, 6)) for _ in range(700)} | {None: 12, "é": 0, "": 5, "\U0001f600": 9, "\uffee": 9}
+    got, want = targets(spark, sizes), plain_targets(sizes)
+    assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s]) for s in want)
 
 
 def brute_mix(rows, weights=(1, 2, 3), most=3):
@@ -32,7 +61,7 @@ def brute_mix(rows, weights=(1, 2, 3), most=3):
     by = Counter()
     for _, source, size in rows:
         by[source] += size
-    goal = mixing.targets(dict(by), weights, most)
+    goal = plain_targets(dict(by), weights, most)
     queue, upto = [], Counter()
     for h, source, size in sorted(rows, key=lambda r: r[0]):
         upto[source] += size
