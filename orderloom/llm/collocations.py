@@ -11,7 +11,9 @@ Counting all phrases of 3 and 4 words of a corpus would ship most of it. Growth
   a phrase that ends with p and p's last word. Both bounds fall, or stay, with every word that is added.
 - The frontier is expanded best first, in batches. A batch is a limit per language, the score of the language's 4,000th
   best pair at first. Only prefixes with a bound at or above the limit are grown to the right, only endings with such a
-  bound to the left, and only where both shorter phrases occur often enough.
+  bound to the left, and only where both shorter phrases occur often enough. A shorter phrase that was not counted, as
+  no bound asked for it, may occur often: where only that is unknown, the longer phrase is counted. It may drop the
+  other shorter one.
 - All phrases with a score at or above the limit, their parts, and every longer phrase that could drop them are counted
   then. A language with 2,000 undropped phrases at or above its limit is settled, ties included. The others go on with
   a limit four times as deep, until the limit is zero and nothing is left to grow.
@@ -175,15 +177,16 @@ def table_of(phrases: DataFrame, size: int, table_bits: int = TABLE_BITS) -> Tab
     return Table(got["place"].to_numpy(), got["bits"].to_numpy(), table_bits)
 
 
-def counted(texts: DataFrame, size: int, table: Table | None, least: int) -> DataFrame:
+def counted(texts: DataFrame, size: int, table: Table | None, least: int, lower: dict[int, Table] | None = None) -> DataFrame:
     """(lang, phrase, a): phrases of `size` words that `table` lets through and that occur `least` times or more.
 
+    `lower` has the tables of fewer words, from the size up whose phrases were all counted; without it that is `table`.
     Single words are all counted, and a null phrase has the number of words of its language.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(table)  # of fixed size
+    shared = texts.sparkSession.sparkContext.broadcast({**(lower or {}), size - 1: table})  # each of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        tables = shared.value
         for batch in batches:
             langs, salts = _salts(batch.column(0))
             for chunk in chunks(batch.column(1)):
@@ -193,7 +196,7 @@ def counted(texts: DataFrame, size: int, table: Table | None, least: int) -> Dat
                     at = np.arange(len(chunk.rows))
                 else:
                     at = np.flatnonzero(chunk.room >= size)
-                    at = at[_may_grow(chunk, at, size, salts, table)]
+                    at = at[_may_grow(chunk, at, size, salts, tables)[0]]
                 hashes = chunk.hashes(at, size, salts)
                 order = np.argsort(hashes, kind="stable")
                 new = np.flatnonzero(np.diff(hashes[order], prepend=~hashes[order[:1]])) if len(at) else at
@@ -206,12 +209,24 @@ def counted(texts: DataFrame, size: int, table: Table | None, least: int) -> Dat
     return found.where((F.col("a") >= least) | F.col("phrase").isNull())
 
 
-def _may_grow(chunk: Chunk, at: np.ndarray, size: int, salts: np.ndarray, table: Table) -> np.ndarray:
-    """Of the places where a phrase of `size` words is: both shorter phrases are frequent and one of them may grow."""
+def _may_grow(chunk: Chunk, at: np.ndarray, size: int, salts: np.ndarray, tables: dict[int, Table]) -> tuple[np.ndarray, np.ndarray]:
+    """Of the places where a phrase of `size` words is: where it is to be counted, and where it may be frequent.
+
+    It is counted if one of the two shorter phrases may grow into it and the other may be frequent: by the table or, where
+    that one was not to be counted itself, by its own parts.
+    """
+    table = tables[size - 1]
     before, after = chunk.hashes(at, size - 1, salts), chunk.hashes(at + 1, size - 1, salts)
-    often = table.has(before, "often") & table.has(after, "often")
-    often[often] = table.has(before[often], "right") | table.has(after[often], "left")
-    return often
+    right, left = table.has(before, "right"), table.has(after, "left")
+    if size - 1 == min(tables):
+        often = table.has(before, "often") & table.has(after, "often")
+        return often & (right | left), often
+    maybe = []
+    for hashes, place in ((before, at), (after, at + 1)):
+        asked, parts = _may_grow(chunk, place, size - 1, salts, tables)
+        maybe.append(np.where(asked, table.has(hashes, "often"), parts))
+    often = maybe[0] & maybe[1]
+    return often & (right | left), often
 
 
 def _batch(langs: pa.Array, rows: np.ndarray, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
@@ -296,9 +311,10 @@ def collocations(
     batch, done = first_batch * top, []
     while True:
         limits = stored(open_langs.join(_limit(pairs.join(open_langs, "lang"), batch), "lang", "left").select("lang", F.coalesce("limit", F.lit(0)).alias("limit")))
-        known, levels = [words.select("lang", "phrase", "a"), pairs.select("lang", "phrase", "a")], [pairs]
+        known, levels, tables = [words.select("lang", "phrase", "a"), pairs.select("lang", "phrase", "a")], [pairs], {}
         for size in range(3, MOST_WORDS + 1):
-            longer = stored(counted(texts, size, table_of(_grow(levels[-1], limits), size - 1, table_bits), least))
+            tables[size - 1] = table_of(_grow(levels[-1], limits), size - 1, table_bits)
+            longer = stored(counted(texts, size, tables[size - 1], least, dict(tables)))
             levels.append(stored(scored(longer, reduce(DataFrame.unionByName, known), size)))
             known.append(longer)
         inside = reduce(DataFrame.unionByName, known[2:]).select(

@@ -75,6 +75,17 @@ def test_deeper_batches_and_full_table(spark):
     assert sorted(tuple(r) for r in collocations.collocations(docs, least=4, top=60, table_bits=7).collect()) == want
 
 
+def test_longer_phrase_with_an_uncounted_part(spark):
+    """`x1 the one the` drops `x1 the one`, though no bound asks for `the one the`."""
+    rng = random.Random(4)
+    parts = [f"x{i % 3} the one{i % 3} the y{rng.randrange(40)}" for i in range(60)] + [f"the of{rng.randrange(30)}" for _ in range(900)]
+    parts += [f"u{i} v{i}" for i in range(12) for _ in range(12)]
+    rng.shuffle(parts)
+    rows = [(i, part + ".", "en") for i, part in enumerate(parts)]
+    want = brute(rows, 5, 6)
+    assert sorted(tuple(r) for r in collocations.collocations(docs_frame(spark, rows), least=5, top=6, first_batch=1).collect()) == want
+
+
 def test_empty_table(spark):
     got = collocations.collocations(docs_frame(spark, []))
     assert got.count() == 0 and got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
