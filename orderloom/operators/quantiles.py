@@ -3,7 +3,9 @@
 Scan one makes a small mergeable sketch per group. It bounds each wanted value from both sides, with a margin that is
 several times the sketch's error. Scan two counts, combined on the map side, the rows below each bracket and the equal
 values inside. These counts are narrowed to one of 65,536 bins of the bracket and then ordered, so no task sorts more
-than the values of a bin. Nothing is stored; the input is read twice, so give a table or something as cheap.
+than the values of a bin. A sketch comes out a little different each time it is made, so the brackets, one row per
+group, are stored: all later steps and repeated tasks see the same ones. The rows are not stored; the input is read
+twice, so give a table or something as cheap.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.session import stored
+
 SKETCH_SIZE = 800  # rank error of 0.35 % with 99 % confidence, some ten kilobytes
 MARGIN = Decimal("0.015")
 BINS = 65536
@@ -54,7 +58,7 @@ def exact_quantiles(
     keys, shares = list(groups) or ["_all"], [Decimal(str(p)) for p in probabilities]
     source = (df if groups else df.withColumn("_all", F.lit(1))).select(*keys, F.col(value).alias("_v"))
     source = source.where(" and ".join(f"{c} is not null" for c in [*(f"`{k}`" for k in keys), "_v"])).withColumn("_x", _ordered(F.col("_v")))
-    brackets = _brackets(source, keys, shares)
+    brackets = stored(_brackets(source, keys, shares))
     hint = F.broadcast if few_groups or not groups else (lambda d: d)
 
     # Scan two. Every row is counted below a bracket (bin -1), above it (bin BINS), or with its value inside.

@@ -14,7 +14,7 @@ from orderloom.operators import checks, crawl, discovery, history as scd, lookup
 from orderloom.operators.dedup import latest_per_key, top_value_per_key
 from orderloom.operators.keys import add_surrogate_key
 from orderloom.operators.profiling import cardinality, joined_values
-from orderloom.operators.quantiles import exact_quantiles
+from orderloom.operators.quantiles import exact_quantiles, quantile_columns
 from orderloom.plans import core, incremental, intermediate, quality, staging
 from orderloom.plans.incremental import existing_table, run_incremental
 
@@ -297,3 +297,14 @@ def test_null_as_empty_is_an_equi_join(spark):
     b = spark.createDataFrame([("", 1)], "w string, n int")
     assert a.join(b, lookups.null_as_empty(F.col("v"), F.col("w"))).count() == 2
     assert a.where(blank_to_null("v").isNull()).count() == 2
+
+
+def test_quantiles_see_the_same_brackets_in_every_step(spark):
+    """Without reuse of shuffles each step reads its input again; a sketch is not the same twice."""
+    df = spark.range(400_000).select((F.col("id") % 4).alias("g"), (F.hash("id") % 100_000).cast("double").alias("v"))
+    want = df.groupBy("g").agg(F.expr("percentile_disc(0.5) within group (order by v)").alias("m"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        assert rows(quantile_columns(df, "v", {"m": "0.5"}, ["g"])) == rows(want)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
