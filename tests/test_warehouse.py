@@ -141,3 +141,20 @@ def test_row_index_and_following_rows(spark):
     one = with_row_index(df.where("i = 5"), ["k", "i"], following=["k"]).first()
     assert one._index == 1 and one._next is None
     assert rows(with_row_index(spark.range(3), ["id"])) == [(0, 1), (1, 2), (2, 3)]
+
+
+def test_sales_lines_are_dealt_by_their_number(spark, monkeypatch):
+    """Tasks of the order totals are bounded by rows, not by the session's shuffle partitions."""
+    from orderloom import session
+    from orderloom.catalog import marts as m
+
+    monkeypatch.setattr(session, "TASK_ROWS", 200)
+    lines = m.fact_lines(spark, "/root/testdata/sf0.001").count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sales = m.sales_frame(spark, "/root/testdata/sf0.001").select("order_id", F.spark_partition_id().alias("task")).cache()
+        assert sales.count() == lines and sales.select("task").distinct().count() >= lines // 200
+        assert sales.distinct().groupBy("order_id").count().where("count > 1").isEmpty()
+        sales.unpersist()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
