@@ -733,8 +733,8 @@ def field_presence_by_type(spark, sf):
     from orderloom.sources.jsonl import not_blank
 
     lines = not_blank(_lines(spark, sf)).withColumn("collection", json_scalar("line", "$.collection"))
-    fields = discovery.document_fields(lines, carry=("collection",))
-    return fields.groupBy("collection", "path").agg(F.count("*").alias("occurrences"))
+    fields = discovery.field_counts(lines, carry=("collection",))
+    return fields.groupBy("collection", "path").agg(F.sum("occurrences").alias("occurrences"))
 
 
 @query(

@@ -27,11 +27,14 @@ def parsed_json(text: Column | str) -> Column:
 
 def json_scalar(document: Column | str, path: str) -> Column:
     """Scalar at `path` as text; NULL for a missing value, an object or an array."""
-    value = F.try_variant_get(parsed_json(document), path, "variant")
-    kind = F.schema_of_variant(value)
-    return F.when(
-        ~(kind.startswith("OBJECT") | kind.startswith("ARRAY")), F.try_variant_get(value, "$", "string")
-    )
+    def scalar(value: Column) -> Column:
+        kind = F.schema_of_variant(value)
+        return F.when(
+            ~(kind.startswith("OBJECT") | kind.startswith("ARRAY")), F.try_variant_get(value, "$", "string")
+        )
+
+    # an array of one, so that the document is parsed once for kind and text
+    return F.transform(F.array(F.try_variant_get(parsed_json(document), path, "variant")), scalar)[0]
 
 
 def looks_nested(texts: list[Column]) -> Column:

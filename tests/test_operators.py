@@ -308,3 +308,22 @@ def test_quantiles_see_the_same_brackets_in_every_step(spark):
         assert rows(quantile_columns(df, "v", {"m": "0.5"}, ["g"])) == rows(want)
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_documents_of_one_shape_are_opened_once(spark):
+    texts = [
+        '{"a":"x","b":[1,2.5,{"c":null}],"d":{"e":true}}', '{"a":"{\\"1\\":2}","b":[77,1e9,{"c":null}],"d":{"e":true}}',
+        '{"a": "\\u00e9, \\\\", "b": [-3, -0.25, {"c": null}], "d": {"e": true}}',
+        '{"k 12,3":1}', '{"k 12,4":1}', '{"k\\"":1.5,"":"","n":12345678901234567890}', '{"n":1234567890123456789}', '{"n":9999999999999999999}',
+        '{"a":01}', '{"a":1.}', '{"a":"\\x"}', '{"a":"y"', '[1,{"a":2}]', '{"a":1,"a":"z"}', '{"a":2,"a":""}', '7', '"s"', '{"a":-}', '{"a":1e400}', '{"a":1e05}', '{"a":10.05,"b":0}', '{"a":-0.0}', '{"a":.5}',
+        '{"a":"' + "long \\n" * 20000 + '","b":3}', '{"a":"\x01"}', '{"a":1 2}', '{"a":1.5.5}', '{"a":tru1}', '{}', '{"a":{"b":[[1,"x"],[2.0]]}}',
+    ]
+    docs = spark.createDataFrame([(t, i % 2) for i, t in enumerate(texts * 3)], "line string, side int")
+    wanted = discovery.field_kinds(discovery.document_fields(docs, carry=("side",)), by=("side",)).drop("sample")
+    got = discovery.field_counts(docs, carry=("side",))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))
+    many = spark.range(500).selectExpr("""'{"id":' || id || ',"x":"' || md5(CAST(id AS STRING)) || '","y":[' || id / 7.5D || ']}' AS line""")
+    assert many.select(discovery.shape(F.col("line"))).distinct().count() == 1
+    assert {(r.path, r.kind, r.occurrences) for r in discovery.field_counts(many).collect()} == {
+        ("id", "int", 500), ("x", "string", 500), ("y", "array", 500), ("y[]", "float", 500),
+    }
