@@ -714,8 +714,7 @@ def discover_field_types(spark, sf):
     from orderloom.catalog.loads import _lines
     from orderloom.sources.jsonl import not_blank
 
-    fields = discovery.document_fields(not_blank(_lines(spark, sf)))
-    return discovery.recommended_types(discovery.field_kinds(fields))
+    return discovery.recommended_types(discovery.field_counts(not_blank(_lines(spark, sf))))
 
 
 @query(
