@@ -327,3 +327,23 @@ def test_documents_of_one_shape_are_opened_once(spark):
     assert {(r.path, r.kind, r.occurrences) for r in discovery.field_counts(many).collect()} == {
         ("id", "int", 500), ("x", "string", 500), ("y", "array", 500), ("y[]", "float", 500),
     }
+
+
+def test_carts_without_repeats_need_no_shuffle(spark):
+    item = "array<struct<product_id:bigint,amount:bigint,price:string,currency:string>>"
+    base = "event_id string, event_timestamp timestamp, event_date date, store_id bigint, user_id_db string, device_id string, " \
+        "ip_address string, device_category string, browser_name string, operating_system string, order_id string, current_url string, " \
+        f"is_recommendation_influenced boolean, user_agent string, cart_products {item}"
+    row = [None, None, 1, None, "d", "1.1.1.1", "Mobile", "Chrome", "Android", "o", "u.ca/", False, "ua"]
+    carts = {
+        "none": [], "one": [(1, 2, "5", "$")], "two": [(1, 2, "5", "$"), (2, 1, "7", "e")], "again": [(1, 1, "5", "$"), (1, 1, "9", "$"), (2, 1, "3", "$")],
+        "rated": [(3, 1, "5", "e"), (3, 1, "50", "$")], "nulls": [(None, 1, "5", "$"), (None, 2, "5", "$"), (4, 1, None, None)],
+    }
+    df = spark.createDataFrame([(e, *row, c) for e, c in carts.items()], base)
+    fx = spark.createDataFrame([("$", "", 2, "USD", Decimal("1.1")), ("$", "%.ca/%", 1, "CAD", Decimal("0.7")), ("e", None, None, "EUR", Decimal("1.2"))],
+        "currency_symbol string, url_pattern string, priority int, currency_code string, rate_to_usd decimal(18,6)")
+    places = spark.createDataFrame([("1.1.1.1", "DE", None, None)], "ip_address string, country_name string, region_name string, city_name string")
+    whole = intermediate.cart_items(df, places, fx)
+    parted = intermediate.cart_items(df, places, fx, unique_events=True)
+    assert parted.columns == whole.columns and parted.count() == 8
+    assert sorted(map(str, parted.collect())) == sorted(map(str, whole.collect()))
