@@ -347,3 +347,23 @@ def test_carts_without_repeats_need_no_shuffle(spark):
     parted = intermediate.cart_items(df, places, fx, unique_events=True)
     assert parted.columns == whole.columns and parted.count() == 8
     assert sorted(map(str, parted.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_product_mart_counts_without_tripling_rows(spark):
+    from orderloom.plans import marts
+
+    day = datetime(2024, 5, 1).date()
+    rows = [("a", "x@p.de"), ("a", "y@q.de"), ("a", "x@p.de"), ("b", "z@p.de"), ("b", None), (None, "w@r.de")]
+    sales = spark.createDataFrame(
+        [(day, 1, o, 2, Decimal("3"), Decimal("1.5"), e is None, e, False) for o, e in rows] + [(day, 1, "c", 9, Decimal("9"), None, False, "o@o.de", True)],
+        "order_date date, product_key bigint, order_id string, quantity bigint, line_total_usd decimal(38,9), unit_price decimal(38,9), "
+        "is_guest boolean, email_address string, is_outlier boolean",
+    )
+    names = ["product_id", "product_name", "sku", "product_type", "category_id", "category_name", "collection_name", "gender", "currency_code"]
+    products = spark.range(1).select(F.lit(1).cast("bigint").alias("product_key"), *[F.lit(n).alias(n) for n in names],
+        *[F.lit("1").alias(n) for n in ("price", "min_price", "max_price", "gold_weight")])
+    mart = marts.mart_sales_by_product(sales, products, core.dim_date(spark))
+    r = mart.first()
+    assert (r.order_count, r.line_item_count, r.units_sold, r.revenue_usd, r.avg_unit_price) == (2, 6, 12, 18, Decimal("1.5"))
+    assert (r.registered_customer_orders, r.guest_orders, r.unique_email_domains) == (5, 1, len({e.split("@")[1] for _, e in rows if e}))
+    assert "Expand" not in mart._jdf.queryExecution().optimizedPlan().toString()
