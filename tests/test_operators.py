@@ -367,3 +367,14 @@ def test_product_mart_counts_without_tripling_rows(spark):
     assert (r.order_count, r.line_item_count, r.units_sold, r.revenue_usd, r.avg_unit_price) == (2, 6, 12, 18, Decimal("1.5"))
     assert (r.registered_customer_orders, r.guest_orders, r.unique_email_domains) == (5, 1, len({e.split("@")[1] for _, e in rows if e}))
     assert "Expand" not in mart._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_events_are_dressed_up_from_stored_lines(spark):
+    from orderloom.catalog.frames import distinct_checkouts, staged_checkouts
+
+    sf = "/root/testdata/sf0.001"
+    got, want = distinct_checkouts(spark, sf), latest_per_key(staged_checkouts(spark, sf), ["event_id"])
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and "user_agent" not in plan.split("Relation")[-1]
