@@ -378,3 +378,9 @@ def test_events_are_dressed_up_from_stored_lines(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "row_number" not in plan and "user_agent" not in plan.split("Relation")[-1]
+
+
+def test_cart_items_model_trusts_staged_events():
+    from orderloom.plans.warehouse import MODELS
+
+    assert MODELS["int_events_cart_items"].build.keywords == {"unique_events": True}
