@@ -130,3 +130,13 @@ def test_bad_lines_are_set_aside_by_the_stream(spark, tmp_path):
 def test_required_columns(spark):
     df = spark.createDataFrame([("1.1.1.1", None), (None, None)], "ip string, ingested_at timestamp")
     assert {r.column_name: r.missing for r in schemas.missing_required(df, "ip_locations").collect()} == {"ip": 1, "ingested_at": 2}
+
+
+def test_rejected_lines_are_told_without_the_schema_of_documents(spark):
+    lines = spark.createDataFrame([(t,) for t in (
+        '{"_id":"a"}', ' \t{"_id":"b"} ', '[{"_id":"c"}]', '{"_id":"d"', '"{}"', "7", "null", "  ", None, "{}", '{"_id":1,"_id":2}',
+    )], "line string")
+    good, bad = jsonl.split_rejected(lines)
+    assert {r.line for r in good.collect()} == {'{"_id":"a"}', ' \t{"_id":"b"} ', "{}", '{"_id":1,"_id":2}'}
+    assert {r.line for r in bad.collect()} == {'[{"_id":"c"}]', '{"_id":"d"', '"{}"', "7", "null"}
+    assert "schema_of_variant" not in good._jdf.queryExecution().optimizedPlan().toString()
