@@ -1,8 +1,8 @@
 """Dashboard marts over enriched sales lines.
 
-All marts drop outlier orders. The marts by store and place first total the lines of an order, then count two things at
-once: Spark expands the order totals, not the lines, combines every distinct (group, order) and (group, customer) pair on
-the map side and spreads them by the pair, so a hot store or place never meets in one task. Calendar columns
+All marts drop outlier orders. The marts by store and place flag the first line of every order in its group, then count
+customers: the lines are spread by (group, order), then combined on the map side and spread by (group, customer), so a hot
+store or place never meets in one task, and no row is multiplied as by two distinct counts at once. Calendar columns
 are joined to the finished groups; Spark broadcasts the calendar and the device classes when their measured size allows.
 """
 
@@ -31,26 +31,13 @@ def _calendar(dim_date: DataFrame, columns: Sequence[str]) -> DataFrame:
     return dim_date.select(F.col("full_date").alias("order_date"), *columns)
 
 
-def _order_totals(lines: DataFrame, keys: Sequence[str], counted: Column | str, *more: Column) -> DataFrame:
-    """Totals of every order inside a group, apart for each `counted` value."""
-    named = (F.col(counted) if isinstance(counted, str) else counted).alias("_counted")
-    return lines.groupBy(*keys, "order_id", named).agg(
-        F.count("*").alias("_lines"),
-        F.sum("quantity").alias("_units"),
-        F.sum("line_total_usd").alias("_revenue"),
-        F.count_if(F.col("is_guest")).alias("_guest"),
-        F.count_if(~F.col("is_guest")).alias("_registered"),
-        *more,
-    )
-
+def _flag_first(lines: DataFrame, keys: Sequence[str], column: str, flag: str) -> DataFrame:
+    """`lines` with a flag: whether this is the first line of its value of `column` in its group of `keys`.
 
-def _order_measures() -> list[Column]:
-    return [
-        F.count_distinct("order_id").alias("order_count"),
-        F.sum("_lines").alias("line_item_count"),
-        F.sum("_units").alias("units_sold"),
-        F.sum("_revenue").alias("revenue_usd"),
-    ]
+    Counting the flags is counting distinct values. Lines are spread by group and value unless they lie together already.
+    """
+    same = Window.partitionBy(*keys, column).orderBy(column)
+    return lines.withColumn(flag, F.col(column).isNotNull() & (F.row_number().over(same) == 1))
 
 
 def _first_lines(lines: DataFrame, keys: Sequence[str], **flags: str) -> DataFrame:
@@ -61,22 +48,31 @@ def _first_lines(lines: DataFrame, keys: Sequence[str], **flags: str) -> DataFra
     """
     out = lines.repartition(*keys)
     for column, flag in flags.items():
-        same = Window.partitionBy(*keys, column).orderBy(column)
-        out = out.withColumn(flag, F.col(column).isNotNull() & (F.row_number().over(same) == 1))
+        out = _flag_first(out, keys, column, flag)
     return out
 
 
+def _measures() -> list[Column]:
+    """Measures of a group of lines with the flag `_first_of_order`; one distinct count does not multiply the rows."""
+    return [
+        F.count_if("_first_of_order").alias("order_count"),
+        F.count("*").alias("line_item_count"),
+        F.sum("quantity").alias("units_sold"),
+        F.sum("line_total_usd").alias("revenue_usd"),
+        F.count_distinct("customer_key").alias("unique_customers"),
+    ]
+
+
 def mart_sales_daily(
     sales: DataFrame, dim_device: DataFrame, dim_date: DataFrame, newer_than: Column | None = None
 ) -> DataFrame:
     """Store × day × device class. The guest and registered columns count lines."""
     devices = dim_device.select("device_key", "device_category", "is_mobile")
     lines = clean_sales(sales, newer_than).join(devices, "device_key", "left")
-    days = _order_totals(lines, DAILY_KEYS, "customer_key").groupBy(*DAILY_KEYS).agg(
-        *_order_measures(),
-        F.count_distinct("_counted").alias("unique_customers"),
-        F.sum("_guest").alias("guest_orders"),
-        F.sum("_registered").alias("registered_orders"),
+    days = _flag_first(lines, DAILY_KEYS, "order_id", "_first_of_order").groupBy(*DAILY_KEYS).agg(
+        *_measures(),
+        F.count_if("is_guest").alias("guest_orders"),
+        F.count_if(~F.col("is_guest")).alias("registered_orders"),
     )
     attributes = ["year", "quarter", "month", F.col("week").alias("week_of_year"), "day_of_week", "day_name", "is_weekend"]
     return days.join(_calendar(dim_date, attributes), "order_date", "left").select(
@@ -93,9 +89,7 @@ def mart_sales_by_geography(
     """Country × region × city × day, for lines whose city is known."""
     places = dim_location.where(F.col("city_name").isNotNull()).select("location_key", *PLACE_KEYS[1:])
     lines = clean_sales(sales, newer_than).join(places, "location_key")
-    days = _order_totals(lines, PLACE_KEYS, "customer_key").groupBy(*PLACE_KEYS).agg(
-        *_order_measures(), F.count_distinct("_counted").alias("unique_customers")
-    )
+    days = _flag_first(lines, PLACE_KEYS, "order_id", "_first_of_order").groupBy(*PLACE_KEYS).agg(*_measures())
     return days.join(_calendar(dim_date, ["year", "month"]), "order_date", "left").select(
         *PLACE_KEYS, "year", "month",
         "order_count", "line_item_count", "units_sold", "revenue_usd", "unique_customers",

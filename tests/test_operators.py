@@ -384,3 +384,42 @@ def test_cart_items_model_trusts_staged_events():
     from orderloom.plans.warehouse import MODELS
 
     assert MODELS["int_events_cart_items"].build.keywords == {"unique_events": True}
+
+
+def test_daily_marts_count_orders_and_customers_without_multiplying_rows(spark):
+    from orderloom.plans import marts
+
+    day = datetime(2024, 5, 1).date()
+    # order, customer, guest: an order of two customers, one of two lines of the same, no customer, no order, no person
+    lines = [("a", 1, False), ("a", 2, True), ("b", 1, False), ("b", 1, False), ("c", None, None), (None, 3, True)]
+    sales = spark.createDataFrame(
+        [(day, 7, 1, 1, o, c, 2, Decimal("1.5"), g, False) for o, c, g in lines] + [(day, 7, 1, 1, "x", 9, 9, Decimal("9"), True, True)],
+        "order_date date, store_id bigint, device_key bigint, location_key bigint, order_id string, customer_key bigint, quantity bigint, "
+        "line_total_usd decimal(38,9), is_guest boolean, is_outlier boolean",
+    )
+    devices = spark.createDataFrame([(1, "Mobile", True)], "device_key bigint, device_category string, is_mobile boolean")
+    places = spark.createDataFrame([(1, "DE", "BE", "Berlin")], "location_key bigint, country_name string, region_name string, city_name string")
+    daily = marts.mart_sales_daily(sales, devices, core.dim_date(spark))
+    place = marts.mart_sales_by_geography(sales, places, core.dim_date(spark))
+    for mart in (daily, place):
+        r = mart.first()
+        assert (mart.count(), r.order_count, r.line_item_count, r.units_sold, r.revenue_usd, r.unique_customers) == (1, 3, 6, 12, 9, 3)
+        assert "Expand" not in mart._jdf.queryExecution().optimizedPlan().toString()
+    assert (daily.first().guest_orders, daily.first().registered_orders) == (2, 3)
+
+
+def test_sales_lines_are_not_sorted_for_their_flags(spark):
+    day = datetime(2024, 5, 1)
+    names = ["sales_line_key", "order_id", "store_id", "quantity", "unit_price", "line_total", "line_total_usd", "transaction_currency_symbol",
+             "transaction_currency_code", "ip_address", "date_key", "customer_key", "product_key", "location_key", "device_key", "exchange_rate_key"]
+    fact = spark.range(40).select(*[F.lit(20240501 if n == "date_key" else 1).cast("bigint").alias(n) for n in names if n != "order_id"],
+        (F.col("id") % 10).cast("string").alias("order_id"))
+    days = spark.createDataFrame([(20240501, day.date())], "date_key bigint, full_date date")
+    people = spark.createDataFrame([(1, "k", "a@b.de", True)], "customer_key bigint, customer_natural_key string, email_address string, is_current boolean")
+    flags = ["is_placeholder_quantity", "is_high_quantity_outlier", "is_high_value_outlier", "is_suspicious_pattern", "is_outlier"]
+    outliers = spark.createDataFrame([("3", True, False, True, False, True), ("none", *[True] * 5)], ", ".join(["order_id string", *[f"{f} boolean" for f in flags]]))
+    sales = intermediate.sales_with_customer(fact, days, people, outliers)
+    got = [(r.order_id, *[r[f] for f in flags]) for r in sales.collect()]
+    assert sorted(got) == sorted([("3", True, False, True, False, True)] * 4 + [(str(i), *[False] * 5) for i in range(10) if i != 3] * 4)
+    plan = sales._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [order_id" in plan and "Sort [order_id" not in plan
