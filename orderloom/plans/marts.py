@@ -31,13 +31,14 @@ def _calendar(dim_date: DataFrame, columns: Sequence[str]) -> DataFrame:
     return dim_date.select(F.col("full_date").alias("order_date"), *columns)
 
 
-def _flag_first(lines: DataFrame, keys: Sequence[str], column: str, flag: str) -> DataFrame:
-    """`lines` with a flag: whether this is the first line of its value of `column` in its group of `keys`.
+def _first_of_order(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`lines` with the flag `_first_of_order`: whether this is the first line of its order in its group of `keys`.
 
-    Counting the flags is counting distinct values. Lines are spread by group and value unless they lie together already.
+    Lines are spread by order and group unless those of an order lie together already. The order comes first, as it
+    alone tells most lines apart when they are sorted.
     """
-    same = Window.partitionBy(*keys, column).orderBy(column)
-    return lines.withColumn(flag, F.col(column).isNotNull() & (F.row_number().over(same) == 1))
+    same = Window.partitionBy("order_id", *keys).orderBy("order_id")
+    return lines.withColumn("_first_of_order", F.col("order_id").isNotNull() & (F.row_number().over(same) == 1))
 
 
 def _first_lines(lines: DataFrame, keys: Sequence[str], **flags: str) -> DataFrame:
@@ -48,12 +49,13 @@ def _first_lines(lines: DataFrame, keys: Sequence[str], **flags: str) -> DataFra
     """
     out = lines.repartition(*keys)
     for column, flag in flags.items():
-        out = _flag_first(out, keys, column, flag)
+        same = Window.partitionBy(*keys, column).orderBy(column)
+        out = out.withColumn(flag, F.col(column).isNotNull() & (F.row_number().over(same) == 1))
     return out
 
 
 def _measures() -> list[Column]:
-    """Measures of a group of lines with the flag `_first_of_order`; one distinct count does not multiply the rows."""
+    """Measures of a group of flagged lines; a single distinct count does not multiply the rows."""
     return [
         F.count_if("_first_of_order").alias("order_count"),
         F.count("*").alias("line_item_count"),
@@ -69,7 +71,7 @@ def mart_sales_daily(
     """Store × day × device class. The guest and registered columns count lines."""
     devices = dim_device.select("device_key", "device_category", "is_mobile")
     lines = clean_sales(sales, newer_than).join(devices, "device_key", "left")
-    days = _flag_first(lines, DAILY_KEYS, "order_id", "_first_of_order").groupBy(*DAILY_KEYS).agg(
+    days = _first_of_order(lines, DAILY_KEYS).groupBy(*DAILY_KEYS).agg(
         *_measures(),
         F.count_if("is_guest").alias("guest_orders"),
         F.count_if(~F.col("is_guest")).alias("registered_orders"),
@@ -89,7 +91,7 @@ def mart_sales_by_geography(
     """Country × region × city × day, for lines whose city is known."""
     places = dim_location.where(F.col("city_name").isNotNull()).select("location_key", *PLACE_KEYS[1:])
     lines = clean_sales(sales, newer_than).join(places, "location_key")
-    days = _flag_first(lines, PLACE_KEYS, "order_id", "_first_of_order").groupBy(*PLACE_KEYS).agg(*_measures())
+    days = _first_of_order(lines, PLACE_KEYS).groupBy(*PLACE_KEYS).agg(*_measures())
     return days.join(_calendar(dim_date, ["year", "month"]), "order_date", "left").select(
         *PLACE_KEYS, "year", "month",
         "order_count", "line_item_count", "units_sold", "revenue_usd", "unique_customers",
