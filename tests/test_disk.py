@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from orderloom.catalog import star as catalog
 from orderloom.operators.lookups import asked_for, join_in_buckets
-from orderloom.plans import core
-from orderloom.session import packed
+from orderloom.plans import core, intermediate
+from orderloom.plans.warehouse import Model, build_models
+from orderloom.session import packed, scratch_path
+from orderloom.sources import published
 
 DATA = "/root/testdata/sf0.001"
 
@@ -95,3 +97,49 @@ def test_keys_that_a_dimension_has_twice(spark):
     assert [(r.order_timestamp.day, r.event_id, r.product_key, r.customer_key, r.location_key, r.date_key) for r in got] == sorted(want)
     assert {(r.device_key, r.exchange_rate_key) for r in got} == {(5, 6)}
     assert all(r.line_total_usd == r.quantity * Decimal("2.75") for r in got)
+
+
+def test_a_build_leaves_no_shuffles(spark):
+    source = spark.range(200_000).select((F.col("id") % 40).alias("x"), F.rand(1).alias("y"))
+    models = {
+        "a": Model(lambda s: s.repartition(3, "y"), ("s",), cluster=("x",), dealt=True),
+        "b": Model(lambda a, newer: a.select("x", "y", F.lit(date(2024, 1, 1)).alias("order_date")), ("a",), "incremental", ("x",)),
+    }
+    root, before = scratch_path(spark), _shuffled(spark)
+    build_models(spark, root, {"s": source}, models)
+    assert _settles(spark, before + 10_000) <= before + 10_000
+    a = published.read_table(spark, root, "a")
+    files = a.select("x", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i")).orderBy("f", "i").collect()
+    assert len({r.f for r in files}) == 3  # written by the tasks that hold the rows, each sorted
+    assert all(p.x <= r.x for p, r in zip(files, files[1:], strict=False) if p.f == r.f)
+    assert rows(a.groupBy("x").count()) == rows(source.groupBy("x").count())
+
+
+def test_customers_come_to_the_orders(spark):
+    """Sales are the same whether customers are broadcast or asked for by the orders."""
+    n = 400
+    fact = packed(
+        spark.range(n).select(
+            F.col("id").alias("sales_line_key"), F.when(F.col("id") % 50 != 3, F.concat(F.lit("o"), F.col("id") % 90)).alias("order_id"),
+            *[F.lit(1).alias(c) for c in ("store_id", "quantity", "unit_price", "line_total", "line_total_usd", "ip_address")],
+            *[F.lit("c").alias(c) for c in ("transaction_currency_symbol", "transaction_currency_code")],
+            (F.lit(20240101) + F.col("id") % 3).alias("date_key"),
+            F.when(F.col("id") % 31 != 0, F.col("id") % 9 - 1).alias("customer_key"),
+            *[F.lit(1).alias(c) for c in ("product_key", "location_key", "device_key", "exchange_rate_key")],
+        )
+    )
+    people = spark.createDataFrame(
+        [(i, f"k{i}", None if i % 2 else f"e{i}", i != 4) for i in range(6)],
+        "customer_key bigint, customer_natural_key string, email_address string, is_current boolean",
+    )
+    flags = ["is_placeholder_quantity", "is_high_quantity_outlier", "is_high_value_outlier", "is_suspicious_pattern", "is_outlier"]
+    outliers = spark.range(9).select(F.concat(F.lit("o"), "id").alias("order_id"), *[(F.col("id") % 2 == 0).alias(f) for f in flags])
+    days = core.dim_date(spark, "2024-01-01", "2024-01-02")
+    want = rows(intermediate.sales_with_customer(fact, days, people, outliers))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sales = intermediate.sales_with_customer(fact, days, people, outliers)
+        assert "hashpartitioning(customer_key" not in sales._jdf.queryExecution().executedPlan().toString()
+        assert rows(sales) == want and len(want) == n
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
